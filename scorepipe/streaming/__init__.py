@@ -1,0 +1 @@
+"""Empty on purpose: every dataset of the scoring workflow is batch."""
