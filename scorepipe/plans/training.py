@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scorepipe.functions.columns import quoted
 from scorepipe.operators import metrics
 from scorepipe.operators.models import TUNED, Fitted, cross_validate, fit_gbt, score
 from scorepipe.operators.profile import cv_summary
@@ -39,7 +40,7 @@ class Outcome:
 
 
 def balanced(kind: str, label: str, key: str, features: list[str]) -> Callable[[DataFrame], DataFrame]:
-    """Balancing step that returns the columns of a training frame."""
+    """Balancing step; (key, draw) identifies a row of its result."""
 
     def step(df: DataFrame) -> DataFrame:
         if kind == "oversample":
@@ -48,7 +49,7 @@ def balanced(kind: str, label: str, key: str, features: list[str]) -> Callable[[
             out = smote(df, label, key, features)
         else:
             raise ValueError(kind)
-        return out.select(key, *features, label)
+        return out.select(key, "draw", *features, label)
 
     return step
 
@@ -69,8 +70,8 @@ def train_evaluate(
     """Fit once, score train and test, report. Cross-validation, when asked, fits models of its own.
 
     With `balance_before_split` the folds are drawn from already balanced rows, so copies of a row
-    can fall on both sides; it is there only for comparison. Its folds go by row number, since
-    drawn and synthetic rows share or lack keys.
+    can fall on both sides; it is there only for comparison. Its folds go by key and draw number,
+    since drawn rows share keys and synthetic ones have none.
     """
     def fit(t, f, y):
         return fit_gbt(t, f, y, spec.params, rounds)
@@ -85,7 +86,7 @@ def train_evaluate(
     cv = None
     if folds:
         if balance_before_split and spec.balance:
-            numbered = materialise(rows.withColumn("_row", F.monotonically_increasing_id()))
+            numbered = rows.withColumn("_row", F.concat_ws(":", F.lit("row"), quoted(key), quoted("draw")))
             cv = cross_validate(kfold(numbered, "_row", folds), fit, features, label, "_row", "label_auc", folds)
         else:
             cv = cross_validate(
