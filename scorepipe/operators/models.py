@@ -18,7 +18,7 @@ from scorepipe.operators.clean import feature_names
 from scorepipe.operators.encode import fit_scaler, scale
 from scorepipe.operators.metrics import accuracy, label_auc, predict_label, rank_metrics
 from scorepipe.operators.sampling import fold_frames
-from scorepipe.sources.tables import materialise
+from scorepipe.sources.tables import materialise, sized
 
 # The tuned settings of the three balancing strategies.
 TUNED = {
@@ -73,7 +73,7 @@ def fit_logistic(
 
     MLlib averages the loss over rows, so the penalty that corresponds to C is 1 / (C * total weight).
     """
-    total = df.agg(F.sum(quoted(weight)) if weight else F.count(F.lit(1))).first()[0]
+    n, total = df.agg(F.count(F.lit(1)), F.sum(quoted(weight)) if weight else F.count(F.lit(1))).first()
     if not total:
         raise ValueError("no rows to fit")
     lr = LogisticRegression(
@@ -83,7 +83,7 @@ def fit_logistic(
     if weight:
         lr = lr.setWeightCol(weight)
     va = _assembled(features)
-    model = PipelineModel([va, lr.fit(va.transform(df))])
+    model = PipelineModel([va, lr.fit(va.transform(sized(df, n)))])
     return Fitted("logistic", model, features, label, {"C": c, "max_iter": max_iter, "solver": "lbfgs"})
 
 
@@ -126,7 +126,7 @@ def fit_gbt(
     rows = df.select(*[quoted(f) for f in features], quoted(label), weight.cast("double").alias("_weight"))
     gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="_weight", **settings)
     va = _assembled(features)
-    model = PipelineModel([va, gbt.fit(va.transform(rows))])
+    model = PipelineModel([va, gbt.fit(va.transform(sized(rows, rows.count())))])
     return Fitted("gbt", model, features, label, {**params, "rounds": rounds})
 
 

@@ -9,6 +9,7 @@ a recomputed task meets the same buckets again.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -133,42 +134,47 @@ def class_sizes(df: DataFrame, label: str | None) -> dict[object, int]:
 
 
 def order_cuts(
-    df: DataFrame, label: str | None, order: list[Column], bucket: Column, wants: dict[object, list[int]]
-) -> dict[object, list[tuple]]:
-    """Order keys found at given ranks (1-based) of each class.
+    df: DataFrame, label: str | None, order: list[Column], bucket: Column,
+    ranks: Callable[[Column, Column], list[Column]],
+) -> dict[object, list[tuple | None]]:
+    """Order keys at given ranks of each class: {class: [key of each rank]}.
 
-    Two scans of the key columns and no sort of the data: bucket counts locate the bucket that holds
-    a rank, then only that bucket is ranked. Rank 0 has no key and is returned as None.
+    `ranks(class, class size)` lists the wanted 1-based ranks as columns; rank 0 has no key (None).
+
+    Two scans of the key columns and no sort of the data: bucket counts locate the bucket that
+    holds a rank, then only that bucket is ranked. What reaches the driver is one row per class and
+    rank, and a label with more than MAX_CLASSES values is refused.
     """
-    spark = df.sparkSession
     g = F.lit(0) if label is None else quoted(label)
     keys = [f"k{i}" for i in range(len(order))]
     rows = df.select(g.alias("g"), bucket.alias("b"), *[c.alias(k) for c, k in zip(order, keys)])
-    kind = dict(rows.dtypes)["g"]
-    asked = [(c, r) for c, ranks in wants.items() for r in sorted(set(ranks)) if r > 0]
-    found: dict[tuple, tuple] = {}
-    if asked:
-        # bounded by MAX_CLASSES times the number of cuts
-        ask = spark.createDataFrame(asked, f"g {kind}, want BIGINT").alias("ask")
-        sizes = rows.groupBy("g", "b").agg(F.count(F.lit(1)).alias("n"))
-        w = Window.partitionBy("g").orderBy("b")
-        cum = sizes.select(
-            "g", "b", (F.sum("n").over(w) - F.col("n")).alias("before"), F.sum("n").over(w).alias("upto")
-        ).alias("cum")
-        hits = cum.join(
-            F.broadcast(ask),
-            F.col("cum.g").eqNullSafe(F.col("ask.g")) & (F.col("want") > F.col("before")) & (F.col("want") <= F.col("upto")),
-        ).select(F.col("cum.g").alias("g"), "b", "want", (F.col("want") - F.col("before")).cast("int").alias("rn")).collect()
-        edges = spark.createDataFrame(sorted({(r["g"], r["b"]) for r in hits}, key=str), f"g {kind}, b {dict(rows.dtypes)['b']}")
-        edge_rows = rows.join(F.broadcast(edges).alias("e"), F.col("e.g").eqNullSafe(rows["g"]) & (F.col("e.b") == rows["b"]), "left_semi")
-        ranked = edge_rows.withColumn("rn", F.row_number().over(Window.partitionBy("g", "b").orderBy(*keys)))
-        picks = spark.createDataFrame([tuple(r) for r in hits], f"pg {kind}, pb {dict(rows.dtypes)['b']}, want BIGINT, prn INT")
-        got = ranked.join(
-            F.broadcast(picks),
-            F.col("g").eqNullSafe(F.col("pg")) & (F.col("b") == F.col("pb")) & (F.col("rn") == F.col("prn")),
-        ).select("g", "want", *keys).collect()
-        found = {(r["g"], r["want"]): tuple(r[k] for k in keys) for r in got}
-    return {c: [found[(c, r)] if r > 0 else None for r in ranks] for c, ranks in wants.items()}
+    sizes = rows.groupBy("g", "b").agg(F.count(F.lit(1)).alias("n"))
+    per_class = Window.partitionBy("g")
+    cum = sizes.select(
+        "g", "b", "n", F.sum("n").over(per_class.orderBy("b")).alias("upto"), F.sum("n").over(per_class).alias("total")
+    )
+    wanted = ranks(F.col("g"), F.col("total"))
+    before = F.col("upto") - F.col("n")
+    hits = (
+        cum.select("*", F.posexplode(F.array(*[r.cast("bigint") for r in wanted])).alias("cut", "want"))
+        # rank 0 is listed once per class, with its first bucket
+        .filter(((F.col("want") > before) & (F.col("want") <= F.col("upto"))) | ((F.col("want") == 0) & (before == 0)))
+        .select("g", "b", "cut", (F.col("want") - before).cast("int").alias("rn"))
+    )
+    limit = MAX_CLASSES * len(wanted) + 1
+    located = hits.limit(limit).collect()
+    if len(located) == limit:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
+    cuts: dict[object, list[tuple | None]] = {r["g"]: [None] * len(wanted) for r in located}
+    picks = [tuple(r) for r in located if r["rn"] > 0]
+    if picks:
+        kinds = dict(hits.dtypes)
+        small = df.sparkSession.createDataFrame(picks, f"pg {kinds['g']}, pb {kinds['b']}, cut INT, rn INT")
+        edge = rows.join(F.broadcast(small), F.col("g").eqNullSafe(F.col("pg")) & (F.col("b") == F.col("pb")))
+        place = F.row_number().over(Window.partitionBy("g", "b", "cut").orderBy(*keys))
+        for r in edge.withColumn("place", place).filter(F.col("place") == F.col("rn")).select("g", "cut", *keys).collect():
+            cuts[r["g"]][r["cut"]] = tuple(r[k] for k in keys)
+    return cuts
 
 
 def at_or_before(order: list[Column], cut: tuple) -> Column:
@@ -195,49 +201,44 @@ def order_statistics(df: DataFrame, cols: list[str], probs: list[float], accurac
         *[F.percentile_approx(c, marks, accuracy).alias(f"q{c}") for c in x.columns],
     ).first()
 
-    plan = []  # (column no, prob no, lower bracket, upper bracket, lower rank, upper rank)
+    steps = []  # one per column and probability that has rows
     for i, c in enumerate(x.columns):
         n = first[f"n{c}"]
-        if not n:
-            continue
-        for j, p in enumerate(probs):
+        for j, p in enumerate(probs if n else []):
             at = (n - 1) * p
-            lo, hi = first[f"q{c}"][2 * j], first[f"q{c}"][2 * j + 1]
-            plan.append([i, j, lo, hi, math.floor(at) + 1, math.ceil(at) + 1, at - math.floor(at)])
-    empty = "column STRING, prob DOUBLE, value DOUBLE"
-    if not plan:
-        return spark.createDataFrame([], empty)
-    counted = x.agg(*[
+            steps.append({
+                "x": c, "column": cols[i], "prob": float(p), "lo": first[f"q{c}"][2 * j], "hi": first[f"q{c}"][2 * j + 1],
+                "r1": math.floor(at) + 1, "r2": math.ceil(at) + 1, "part": at - math.floor(at),
+            })
+    if not steps:
+        return spark.createDataFrame([], "column STRING, prob DOUBLE, value DOUBLE")
+    counted = x.selectExpr(*[
         e
-        for k, (i, _, lo, hi, *_) in enumerate(plan)
+        for k, s in enumerate(steps)
         for e in (
-            F.sum((F.col(f"x{i}") < lo).cast("bigint")).alias(f"below{k}"),
-            F.sum((F.col(f"x{i}") <= hi).cast("bigint")).alias(f"upto{k}"),
+            f"count_if({s['x']} < {_double(s['lo'])}) AS below{k}", f"count_if({s['x']} <= {_double(s['hi'])}) AS upto{k}",
         )
     ]).first()
-    for k, step in enumerate(plan):
-        below, upto = counted[f"below{k}"], counted[f"upto{k}"]
-        if not (below < step[4] and step[5] <= upto):
-            step[2], step[3], below = float("-inf"), float("inf"), 0
-        step[4] -= below
-        step[5] -= below
-
-    # cells inside a bracket, tagged with the step they serve
-    tagged = F.filter(
-        F.array(*[
-            F.when(F.col(f"x{i}").between(lo, hi), F.struct(F.lit(k).alias("k"), F.col(f"x{i}").alias("v")))
-            for k, (i, _, lo, hi, *_) in enumerate(plan)
-        ]),
-        lambda cell: cell.isNotNull(),
+    for k, s in enumerate(steps):
+        below = counted[f"below{k}"]
+        if not (below < s["r1"] and s["r2"] <= counted[f"upto{k}"]):
+            s["lo"], s["hi"], below = float("-inf"), float("inf"), 0
+        s["r1"] -= below
+        s["r2"] -= below
+
+    # the cells inside a bracket, each with the step it serves
+    cells = ", ".join(
+        f"IF({s['x']} BETWEEN {_double(s['lo'])} AND {_double(s['hi'])}, struct({k} AS k, {s['x']} AS v), NULL)"
+        for k, s in enumerate(steps)
     )
-    inside = x.select(F.inline(tagged)).groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    inside = x.selectExpr(f"inline(array({cells}))").filter("k IS NOT NULL").groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    steps = spark.createDataFrame(
-        [(k, cols[s[0]], float(probs[s[1]]), s[4], s[5], float(s[6])) for k, s in enumerate(plan)],
+    table = spark.createDataFrame(
+        [(k, s["column"], s["prob"], s["r1"], s["r2"], float(s["part"])) for k, s in enumerate(steps)],
         "k INT, column STRING, prob DOUBLE, r1 BIGINT, r2 BIGINT, part DOUBLE",
     )
     ranked = inside.withColumn("upto", F.sum("n").over(w)).withColumn("before", F.col("upto") - F.col("n"))
-    held = ranked.join(F.broadcast(steps), "k")
+    held = ranked.join(F.broadcast(table), "k")
 
     def at_rank(r):
         return F.max(F.when((F.col("before") < F.col(r)) & (F.col(r) <= F.col("upto")), F.col("v")))
@@ -245,3 +246,7 @@ def order_statistics(df: DataFrame, cols: list[str], probs: list[float], accurac
     return held.groupBy("column", "prob", "part").agg(at_rank("r1").alias("v1"), at_rank("r2").alias("v2")).select(
         "column", "prob", (F.col("v1") + (F.col("v2") - F.col("v1")) * F.col("part")).alias("value")
     )
+
+
+def _double(v: float) -> str:
+    return f"double('{v}')"

@@ -7,9 +7,6 @@ and the rows themselves are never shuffled or sorted.
 
 from __future__ import annotations
 
-import math
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +15,7 @@ from scorepipe.functions.columns import quoted
 from scorepipe.functions.keyed import hash_bucket, hash_int, hash_key, unit
 from scorepipe.operators.neighbors import kept_neighbors
 from scorepipe.operators.ordered import (
+    MAX_CLASSES,
     at_or_before,
     class_sizes,
     dense_index,
@@ -36,16 +34,12 @@ def union_bags(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
-def half_up(x: float) -> int:
-    return math.floor(x + 0.5)
-
-
 def stratified_split(df: DataFrame, label: str, key: str, test_frac: float = 0.3, seed: int = 100, out: str = "split") -> DataFrame:
     """Add `split`: of each class exactly round(frac * n) rows, first in hash order, are 'test'."""
     hashed = hash_key(seed, quoted(key))
     order = [hashed, quoted(key)]
-    wants = {c: [half_up(test_frac * n)] for c, n in class_sizes(df, label).items()}
-    cuts = order_cuts(df, label, order, hash_bucket(hashed), wants)
+    share = F.lit(float(test_frac))
+    cuts = order_cuts(df, label, order, hash_bucket(hashed), lambda _, n: [F.floor(share * n + F.lit(0.5).cast("double"))])
     test = F.lit(False)
     for c, (cut,) in cuts.items():
         if cut is not None:
@@ -62,22 +56,16 @@ def _fold_column(order: list[Column], cuts: list[tuple | None]) -> Column:
     return fold
 
 
-def _edges(sizes: list[int]) -> list[int]:
-    """Ranks of the last row of every fold but the final one."""
-    out, total = [], 0
-    for s in sizes[:-1]:
-        total += s
-        out.append(total)
-    return out
-
-
 def kfold(df: DataFrame, key: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
     """Shuffled folds 0..k-1 in hash order; the first n mod k folds hold one row more."""
-    n = sum(class_sizes(df, None).values())
     hashed = hash_key(seed, quoted(key))
     order = [hashed, quoted(key)]
-    sizes = [n // k + (i < n % k) for i in range(k)]
-    cuts = order_cuts(df, None, order, hash_bucket(hashed), {0: _edges(sizes)})[0]
+
+    def ends(_, n):
+        """Rank of the last row of every fold but the final one."""
+        return [F.floor(n / k) * i + F.least(F.lit(i), n % k) for i in range(1, k)]
+
+    cuts = order_cuts(df, None, order, hash_bucket(hashed), ends).get(0, [None] * (k - 1))
     return df.withColumn(out, _fold_column(order, cuts))
 
 
@@ -88,20 +76,27 @@ def stratified_kfold(df: DataFrame, label: str, key: str, k: int = 5, out: str =
     appearance, fold i takes every k-th place starting at i.
     """
     rows = df.groupBy(quoted(label).alias("g")).agg(F.count(F.lit(1)).alias("n"), F.min(quoted(key)).alias("first"))
-    sizes = class_sizes(df, label)
-    first = {r["g"]: r["first"] for r in rows.collect()}
-    wants, start = {}, 0
-    for c in sorted(sizes, key=lambda g: first[g]):
-        end = start + sizes[c]
+    found = rows.limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
+    ends, start = {}, 0
+    for r in sorted(found, key=lambda r: r["first"]):
+        end = start + r["n"]
         held = [len(range(start + (i - start) % k, end, k)) for i in range(k)]
-        wants[c] = _edges(held)
+        ends[r["g"]] = [sum(held[: i + 1]) for i in range(k - 1)]
         start = end
+
+    def of_class(g, _):
+        out = [F.lit(0)] * (k - 1)
+        for c, e in ends.items():
+            out = [F.when(g.eqNullSafe(F.lit(c)), e[i]).otherwise(out[i]) for i in range(k - 1)]
+        return out
+
     bounds = range_bounds(df, key)
     bucketed = with_range_bucket(df.withColumn("_k", quoted(key).cast("double")), "_k", bounds, "_b")
     order = [quoted(key)]
-    cuts = order_cuts(bucketed, label, order, F.col("_b"), wants)
     fold = F.lit(None).cast("int")
-    for c, edges in cuts.items():
+    for c, edges in order_cuts(bucketed, label, order, F.col("_b"), of_class).items():
         fold = F.when(quoted(label).eqNullSafe(F.lit(c)), _fold_column(order, edges)).otherwise(fold)
     return df.withColumn(out, fold)
 

@@ -17,7 +17,7 @@ SMALL = {**models.TUNED["Normal Sampling"], "max_depth": 3}
 
 
 def parts(spark, d):
-    rows = materialise(sampling.stratified_split(gold(spark, d), LABEL, KEY))
+    rows = materialise(sampling.stratified_split(materialise(gold(spark, d)), LABEL, KEY))
     return rows.filter(F.col("split") == "train").drop("split"), rows.filter(F.col("split") == "test").drop("split")
 
 
@@ -47,13 +47,13 @@ def g5(spark, d):
 
 @query("g6_cv_logistic")
 def g6(spark, d):
-    folds = materialise(sampling.stratified_kfold(gold(spark, d), LABEL, KEY))
+    folds = materialise(sampling.stratified_kfold(materialise(gold(spark, d)), LABEL, KEY))
     return models.cross_validate(folds, models.scaled_logistic, FEATURES, LABEL, KEY, "accuracy")
 
 
 @query("g7_cv_boosted")
 def g7(spark, d):
-    folds = materialise(sampling.kfold(gold(spark, d), KEY))
+    folds = materialise(sampling.kfold(materialise(gold(spark, d)), KEY))
     fit = lambda t, f, y: models.fit_gbt(t, f, y, SMALL, 3)
     return models.cross_validate(folds, fit, FEATURES, LABEL, KEY, "label_auc")
 
@@ -62,7 +62,7 @@ def g7(spark, d):
 def g8(spark, d):
     """Two draws from a shallow part of the grid, three folds."""
     space = {**models.SEARCH_SPACE, "max_depth": [2, 3]}
-    folds = sampling.kfold(gold(spark, d), KEY, 3)
+    folds = sampling.kfold(materialise(gold(spark, d)), KEY, 3)
     return models.random_search(folds, FEATURES, LABEL, KEY, space, n=2, k=3, rounds=2)
 
 

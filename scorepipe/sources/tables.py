@@ -125,3 +125,15 @@ def materialise(df: DataFrame) -> DataFrame:
     Blocks spill to disk, and a lost executor costs only the recomputation of its blocks.
     """
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+ROWS_PER_TASK = 100_000
+
+
+def sized(df: DataFrame, rows: int) -> DataFrame:
+    """Fewer, fuller partitions for a small frame that an iterative fit will pass over many times.
+
+    Only ever merges partitions, without a shuffle; a frame with more rows than
+    partitions times ROWS_PER_TASK keeps its partitions.
+    """
+    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
