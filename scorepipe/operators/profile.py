@@ -200,7 +200,7 @@ def corr_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return total.select(
         F.get(names, F.col("i")).alias("a"),
         F.get(names, F.col("j")).alias("b"),
-        F.when(n > 1, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("r"),
+        F.when(r > 1, 1.0).when(r < -1, -1.0).otherwise(r).alias("r"),
     )
 
 

@@ -31,14 +31,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     A folder of our own is made only in local mode, where driver and executors share the disk.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="scorepipe-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(named)
     return named
 
 
