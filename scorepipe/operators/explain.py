@@ -161,7 +161,8 @@ def long_contributions(shap: DataFrame, features: list[str]) -> DataFrame:
 def explain_row(shap: DataFrame, rows: DataFrame, row_id: object, features: list[str], key: str, label: str, threshold: float = 0.0) -> DataFrame:
     """(feature, value, contribution, base_value, margin, pred, actual) of one row.
 
-    Both sides are filtered by the key first; with a key the scan can skip on, only its file is read.
+    Both sides are filtered by the key first. The filter cannot pass through `tree_shap`, so give that
+    only the row to explain.
     """
     one = shap.filter(F.col("id") == F.lit(row_id))
     margin = F.col("base_value") + F.aggregate("contributions", F.lit(0.0).cast("double"), lambda a, b: a + b)

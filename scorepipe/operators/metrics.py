@@ -175,23 +175,19 @@ def roc_curve(
     """
     by = list(by)
     rows = running_counts(df, label, score, by, buckets)
+    first = (F.col("tp") == F.col("n_pos")) & (F.col("fp") == F.col("n_neg"))
     points = rows
     if drop_collinear:
-        first = (F.col("tp") == F.col("n_pos")) & (F.col("fp") == F.col("n_neg"))
         last = F.col("next_pos").isNull()
         bend = (F.col("next_pos") != F.col("n_pos")) | (F.col("next_neg") != F.col("n_neg"))
         points = rows.filter(first | last | bend)
-    curve = points.select(
-        *_by(by), F.col("score").alias("threshold"),
-        ratio(F.col("fp"), F.col("n")).alias("fpr"), ratio(F.col("tp"), F.col("p")).alias("tpr"),
+    point = F.struct(
+        F.col("score").alias("threshold"), ratio(F.col("fp"), F.col("n")).alias("fpr"), ratio(F.col("tp"), F.col("p")).alias("tpr")
     )
     zero = F.lit(0.0).cast("double")
-    # one origin per group of the data, even when a group has a single score
-    groups = df.filter(quoted(label).isNotNull() & quoted(score).isNotNull()).groupBy(*_by(by)).agg(F.count(F.lit(1)).alias("_n"))
-    origin = groups.filter(F.col("_n") > 0).select(
-        *_by(by), F.lit(float("inf")).alias("threshold"), zero.alias("fpr"), zero.alias("tpr")
-    )
-    return origin.unionByName(curve)
+    origin = F.struct(F.lit(float("inf")).alias("threshold"), zero.alias("fpr"), zero.alias("tpr"))
+    # the highest score of a group brings the origin with it
+    return points.select(*_by(by), F.inline(F.when(first, F.array(origin, point)).otherwise(F.array(point))))
 
 
 def predict_label(df: DataFrame, score: str = "score", threshold: float = 0.5, out: str = "pred") -> DataFrame:

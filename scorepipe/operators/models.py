@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import PipelineModel
@@ -14,10 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorepipe.functions.columns import quoted
-from scorepipe.operators.clean import feature_names
 from scorepipe.operators.encode import fit_scaler, scale
 from scorepipe.operators.metrics import accuracy, label_auc, predict_label, rank_metrics
+from scorepipe.operators.profile import cv_summary
 from scorepipe.operators.sampling import fold_frames
+from scorepipe.session import shared_dir
 from scorepipe.sources.tables import materialise, sized
 
 # The tuned settings of the three balancing strategies.
@@ -42,7 +44,7 @@ SEARCH_SPACE = {
     "min_child_weight": [1, 3, 5, 7],
     "gamma": [0.0, 0.1, 0.2, 0.3, 0.4],
     "colsample_bytree": [0.3, 0.4, 0.5, 0.7],
-    "scale_pos_weight": [3],
+    "scale_pos_weight": [1, 3, 5, 7],
 }
 
 
@@ -105,6 +107,8 @@ def gbt_params(params: dict, rounds: int = 100, seed: int = 100) -> dict:
     out = {"maxIter": rounds, "seed": seed, "lossType": "logistic"}
     if "max_depth" in params:
         out["maxDepth"] = int(params["max_depth"])
+        # deep trees: remember each row's node instead of walking the tree again at every level
+        out["cacheNodeIds"] = out["maxDepth"] >= 8
     if "learning_rate" in params:
         out["stepSize"] = float(params["learning_rate"])
     if "gamma" in params:
@@ -119,7 +123,11 @@ def gbt_params(params: dict, rounds: int = 100, seed: int = 100) -> dict:
 def fit_gbt(
     df: DataFrame, features: list[str], label: str, params: dict, rounds: int = 100, seed: int = 100
 ) -> Fitted:
-    """Boosted trees. Training aggregates split statistics on the executors, level by level."""
+    """Boosted trees. Training aggregates split statistics on the executors, level by level.
+
+    The shared folder lets MLlib checkpoint its running errors, so lineage stays short over many rounds.
+    """
+    shared_dir(df.sparkSession)
     settings = gbt_params(params, rounds, seed)
     pos_weight = float(params.get("scale_pos_weight", 1))
     weight = F.when(quoted(label) == 1, pos_weight).otherwise(1.0)
@@ -201,24 +209,27 @@ def random_draws(space: dict[str, list], n: int, seed: int = 100) -> list[dict]:
 
 def random_search(
     df: DataFrame, features: list[str], label: str, key: str, space: dict[str, list] = SEARCH_SPACE,
-    n: int = 200, k: int = 5, rounds: int = 100, seed: int = 100, fold: str = "fold",
+    n: int = 200, k: int = 5, rounds: int = 100, seed: int = 100, fold: str = "fold", parallelism: int = 1,
 ) -> DataFrame:
-    """(draw, params, folds, mean, std_pop, best): cross-validated AUC of n settings from the grid."""
+    """(draw, params, folds, mean, std_pop, best): cross-validated AUC of n settings from the grid.
+
+    `parallelism` settings are fitted at a time, each as Spark jobs of its own.
+    """
+    spark = df.sparkSession
     rows = materialise(df)
-    results = []
-    for d, params in enumerate(random_draws(space, n, seed)):
-        one = cross_validate(
-            rows, lambda t, f, y, p=params: fit_gbt(t, f, y, p, rounds, seed), features, label, key, "score_auc", k, fold=fold
+    draws = random_draws(space, n, seed)
+
+    def one(params):
+        scores = cross_validate(
+            rows, lambda t, f, y: fit_gbt(t, f, y, params, rounds, seed), features, label, key, "score_auc", k, fold=fold
         )
-        as_map = F.create_map(*[F.lit(str(x)) for kv in params.items() for x in kv])
-        results.append(one.agg(
-            F.count("score").alias("folds"), F.avg("score").alias("mean"), F.stddev_pop("score").alias("std_pop")
-        ).select(F.lit(d).alias("draw"), as_map.alias("params"), "folds", "mean", "std_pop"))
-    out = reduce(lambda a, b: a.unionByName(b), results)
-    # one row per draw, so the single-task order is over n rows
-    top = out.select(F.max_by("draw", "mean")).scalar()
-    return out.withColumn("best", F.col("draw") == top)
-
-
-def model_features(df: DataFrame, label: str, key: str) -> list[str]:
-    return feature_names(df, label, key)
+        return tuple(cv_summary(scores).select("folds", "mean", "std_pop").first())
+
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        found = list(pool.map(one, draws))
+    rows.unpersist()
+    top = max(range(len(found)), key=lambda d: (found[d][1] is not None, found[d][1] or 0.0, -d))
+    table = [(d, {a: str(b) for a, b in p.items()}, *f, d == top) for d, (p, f) in enumerate(zip(draws, found))]
+    return spark.createDataFrame(
+        table, "draw INT, params MAP<STRING, STRING>, folds BIGINT, mean DOUBLE, std_pop DOUBLE, best BOOLEAN"
+    )

@@ -19,11 +19,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorepipe.functions.keyed import hash_key
+from scorepipe.functions.keyed import hash_int, hash_key
 from scorepipe.sources.tables import materialise
 
 MAX_BLOCKS = 4096
 SAMPLE_ROWS = 20_000
+QUERY_SHARE = 256
 NEIGHBOR = "id BIGINT, neighbor BIGINT, dist2 DOUBLE"
 
 
@@ -116,32 +117,35 @@ def kept_neighbors(rows: DataFrame, k: int, block_rows: int = 4096) -> DataFrame
     """
     spark = rows.sparkSession
     kept = materialise(_without_surplus(rows.select("id", "vec"), k))
-    n = kept.count()
-    depth = max(0, min(int(math.log2(MAX_BLOCKS)), math.ceil(math.log2(max(1, n) / block_rows))))
-    if n == 0:
+    n, width = kept.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
+    if not n:
         return spark.createDataFrame([], NEIGHBOR + ", rank INT")
+    depth = max(0, min(int(math.log2(MAX_BLOCKS)), math.ceil(math.log2(n / block_rows))))
     if depth == 0:
         dims, cuts = [0], [0.0]
     else:
-        # steers the cut only; the result is exact for any planes
-        order = hash_key("planes", F.col("id"))
-        picked = kept.orderBy(order).limit(SAMPLE_ROWS).select("vec").toPandas()
+        # about SAMPLE_ROWS rows by hash; they steer the cut only, the result is exact for any planes
+        share = int(min(1.0, SAMPLE_ROWS / n) * 2**32)
+        picked = kept.filter(hash_int(hash_key("planes", F.col("id"))) < share).select("vec").toPandas()
         dims, cuts = _median_tree(_matrix(picked["vec"]), depth)
     placed = _with_block(kept, dims, cuts, depth)
-    width = len(kept.select("vec").first()[0])
-    boxes = placed.groupBy("block").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array(*[F.min(F.get("vec", F.lit(j))) for j in range(width)]).alias("lo"),
-        F.array(*[F.max(F.get("vec", F.lit(j))) for j in range(width)]).alias("hi"),
-    ).toPandas()  # at most MAX_BLOCKS rows
-    parts = {int(b): math.ceil(int(c) / (2 * block_rows)) for b, c in zip(boxes["block"], boxes["n"])}
+    one_group = depth == 0
+    if one_group:
+        parts = {1: 1}
+    else:
+        boxes = placed.groupBy("block").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.array(*[F.min(F.get("vec", F.lit(j))) for j in range(width)]).alias("lo"),
+            F.array(*[F.max(F.get("vec", F.lit(j))) for j in range(width)]).alias("hi"),
+        ).toPandas()  # at most MAX_BLOCKS rows
+        parts = {int(b): math.ceil(int(c) / (2 * block_rows)) for b, c in zip(boxes["block"], boxes["n"])}
     part_count = _block_table(spark, parts, "parts")
 
     spread = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
     placed = placed.join(part_count, "block").withColumn("part", spread)
     candidates = placed.select("block", "part", F.col("id").alias("cid"), F.col("vec").alias("cvec"))
 
-    if depth == 0 and sum(parts.values()) == 1:
+    if one_group:
         visits = placed.select("id", "vec", F.lit(1).alias("block"), F.lit(0).alias("part"))
     else:
         def limit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -167,15 +171,18 @@ def kept_neighbors(rows: DataFrame, k: int, block_rows: int = 4096) -> DataFrame
                 reach = [block[g <= c] for g, c in zip(gap, cap)]
                 yield pd.DataFrame({"id": pdf["id"], "vec": pdf["vec"], "blocks": reach})
 
-        routed = limited.mapInPandas(route, "id BIGINT, vec ARRAY<DOUBLE>, blocks ARRAY<INT>")
-        visits = materialise(routed.select("id", "vec", F.explode("blocks").alias("block")))
-        visits = visits.join(part_count, "block").select(
+        routed = materialise(limited.mapInPandas(route, "id BIGINT, vec ARRAY<DOUBLE>, blocks ARRAY<INT>"))
+        visits = routed.select("id", "vec", F.explode("blocks").alias("block")).join(part_count, "block").select(
             "id", "vec", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
         )
 
-    # as many shares of visiting rows per block as keep one share near four blocks of rows
-    load = {r["block"]: r["n"] for r in visits.filter("part = 0").groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect()}
-    lanes = {b: max(1, math.ceil(c / (4 * block_rows))) for b, c in load.items()}
+    if one_group:
+        # one block fits any task, so its visitors are shared out over the cores at once
+        lanes = {1: max(1, min(spark.sparkContext.defaultParallelism, math.ceil(n / QUERY_SHARE)))}
+    else:
+        # as many shares of visiting rows per block as keep one share near four blocks of rows
+        load = visits.filter("part = 0").groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect()
+        lanes = {r["block"]: max(1, math.ceil(r["n"] / (4 * block_rows))) for r in load}
     lane = F.pmod(F.xxhash64("id", F.lit(7)), F.col("lanes")).cast("int").alias("lane")
     visitors = visits.join(_block_table(spark, lanes, "lanes"), "block").select("id", "vec", "block", "part", lane)
     every_lane = F.explode(F.sequence(F.lit(0), F.col("host_lanes") - 1)).alias("lane")

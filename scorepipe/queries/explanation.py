@@ -101,7 +101,8 @@ def i2(spark, d):
 def i3_tree(spark, d):
     model, test = _boosted(spark, d)
     first = test.agg(F.min(KEY)).first()[0]
-    return explain.explain_row(explain.tree_shap(model, test, KEY), test, first, FEATURES, KEY, LABEL)
+    one = test.filter(F.col(KEY) == first)
+    return explain.explain_row(explain.tree_shap(model, one, KEY), one, first, FEATURES, KEY, LABEL)
 
 
 @query("i6_gain_importance")

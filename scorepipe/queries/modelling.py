@@ -62,7 +62,7 @@ def g7(spark, d):
 def g8(spark, d):
     """Two draws from a shallow part of the grid, three folds."""
     space = {**models.SEARCH_SPACE, "max_depth": [2, 3]}
-    folds = sampling.kfold(materialise(gold(spark, d)), KEY, 3)
+    folds = sampling.stratified_kfold(materialise(gold(spark, d)), LABEL, KEY, 3)
     return models.random_search(folds, FEATURES, LABEL, KEY, space, n=2, k=3, rounds=2)
 
 

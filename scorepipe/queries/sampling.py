@@ -6,7 +6,7 @@ from scorepipe.operators import clean, neighbors, sampling
 from scorepipe.queries.base import (
     FEATURES, KEY, LABEL, NUMBERS, SPLIT_SQL, gold, hash_int_sql, nice, query, rnd, silver, with_ctes,
 )
-from scorepipe.sources.tables import read_parquet
+from scorepipe.sources.tables import materialise, read_parquet
 
 _FOLDS = "SELECT id, CAST(ntile(5) OVER (ORDER BY md5('42:' || CAST(id AS VARCHAR)), id) - 1 AS INT) AS fold FROM silver"
 
@@ -92,7 +92,7 @@ _DIST = " + ".join(f"CAST(p.{c} - q.{c} AS DOUBLE) * CAST(p.{c} - q.{c} AS DOUBL
     ),
 )
 def f3(spark, d):
-    out = sampling.smote(gold(spark, d), LABEL, KEY, FEATURES)
+    out = sampling.smote(materialise(gold(spark, d)), LABEL, KEY, FEATURES)
     out = nice(out, {c: 4 for c in FEATURES if c not in _INTS})
     none = F.lit(-1).cast("bigint")
     return out.withColumn(KEY, F.coalesce(KEY, none)).withColumn("draw", F.coalesce("draw", none))

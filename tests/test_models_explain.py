@@ -84,7 +84,7 @@ def test_random_draws_are_distinct_and_repeatable():
 def test_random_search(parts):
     folds = sampling.kfold(parts[0], KEY, 2)
     space = {"max_depth": [2, 3], "learning_rate": [0.1]}
-    got = models.random_search(folds, FEATURES, LABEL, KEY, space, n=2, k=2, rounds=2).toPandas()
+    got = models.random_search(folds, FEATURES, LABEL, KEY, space, n=2, k=2, rounds=2, parallelism=2).toPandas()
     assert len(got) == 2 and got.best.sum() == 1 and got.loc[got.best, "mean"].iloc[0] == got["mean"].max()
 
 
