@@ -23,7 +23,8 @@ def _curve_ctes(source: str, group: str, label: str, score: str) -> dict[str, st
         "WINDOW w AS (PARTITION BY g ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
         "rk": "SELECT g, CAST(sum(np) AS BIGINT) AS n_pos, CAST(sum(nn) AS BIGINT) AS n_neg, "
         "sum(np * (n - fp + nn / CAST(2 AS DOUBLE))) / nullif(max(p) * max(n), 0) AS auc, "
-        "greatest(max(tp / nullif(p, 0) - fp / nullif(n, 0)), 0) AS ks_roc, "
+        # NULL without both classes; greatest alone would skip the NULL
+        "CASE WHEN max(p) > 0 AND max(n) > 0 THEN greatest(max(tp / nullif(p, 0) - fp / nullif(n, 0)), 0) END AS ks_roc, "
         "max(abs(tp / nullif(p, 0) - fp / nullif(n, 0))) AS ks_2samp FROM run GROUP BY g",
     }
 

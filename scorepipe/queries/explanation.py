@@ -33,30 +33,31 @@ def i1b(spark, d):
     return nice(long.select("id", "base_value", "feature", "contribution"), {"base_value": 6, "contribution": 6})
 
 
+# card margins have seven decimals; rounding them to six would meet exact ties
 @query("i3_explain_row", with_ctes(
     "gold",
-    "SELECT lg.feature, " + rnd("v.value", 6) + " AS value, " + rnd("contribution", 6) + " AS contribution, " + rnd("base", 6) + " AS base_value, "
-    + rnd("t.margin", 6) + " AS margin, CASE WHEN t.margin > 0 THEN 1 ELSE 0 END AS pred, lg.de_pay AS actual "
+    "SELECT lg.feature, " + rnd("v.value", 8) + " AS value, " + rnd("contribution", 8) + " AS contribution, " + rnd("base", 8) + " AS base_value, "
+    + rnd("t.margin", 8) + " AS margin, CASE WHEN t.margin > 0 THEN 1 ELSE 0 END AS pred, lg.de_pay AS actual "
     "FROM lg JOIN (SELECT id, max(base) + sum(contribution) AS margin FROM lg GROUP BY id) t ON t.id = lg.id "
     "JOIN (" + " UNION ALL ".join(f"SELECT id, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM gold" for c in _COLS)
     + f") v ON v.id = lg.id AND v.feature = lg.feature WHERE lg.id = {_ROW}", **_CONTRIB))
 def i3(spark, d):
     g, shap = card_shap(spark, d)
     out = explain.explain_row(shap, g, _ROW, _COLS, KEY, LABEL)
-    return nice(out, {"value": 6, "contribution": 6, "base_value": 6, "margin": 6})
+    return nice(out, {"value": 8, "contribution": 8, "base_value": 8, "margin": 8})
 
 
 @query("i4_waterfall", with_ctes(
     "gold",
-    "SELECT CAST(pos AS INT) AS pos, feature, " + rnd("contribution", 6) + " AS contribution, " + rnd("base + run - contribution", 6) + " AS start, "
-    + rnd("base + run", 6) + " AS stop FROM w2",
+    "SELECT CAST(pos AS INT) AS pos, feature, " + rnd("contribution", 8) + " AS contribution, " + rnd("base + run - contribution", 8) + " AS start, "
+    + rnd("base + run", 8) + " AS stop FROM w2",
     **_CONTRIB,
     w0=f"SELECT *, row_number() OVER (ORDER BY abs(contribution) DESC, feature) AS rn FROM lg WHERE id = {_ROW}",
     w1="SELECT least(rn, 4) AS pos, CASE WHEN rn <= 3 THEN feature ELSE '3 other features' END AS feature, max(base) AS base, sum(contribution) AS contribution FROM w0 GROUP BY 1, 2",
     w2="SELECT *, sum(contribution) OVER (ORDER BY pos DESC) AS run FROM w1"))
 def i4(spark, d):
     _, shap = card_shap(spark, d)
-    return nice(explain.waterfall(shap, _ROW, _COLS, max_display=4), {"contribution": 6, "start": 6, "stop": 6})
+    return nice(explain.waterfall(shap, _ROW, _COLS, max_display=4), {"contribution": 8, "start": 8, "stop": 8})
 
 
 @query("i5_shap_importance", with_ctes(
