@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BUCKET_DIGITS = 4
-"""Leading hex digits of the hash that name a bucket: at most 16^4 = 65,536 buckets."""
+BUCKET_DIGITS = 3
+"""Hex digits of the hash that name a bucket: at most 16^3 = 4,096 buckets."""
 
 
 def hash_key(seed: int | str, key: Column) -> Column:
@@ -18,8 +18,14 @@ def hash_key(seed: int | str, key: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
-def hash_bucket(hashed: Column) -> Column:
-    return F.substring(hashed, 1, BUCKET_DIGITS)
+def hash_bucket(hashed: Column, level: int = 1) -> Column:
+    """Leading digits of the hash; each level divides a bucket by 4,096."""
+    return F.substring(hashed, 1, level * BUCKET_DIGITS)
+
+
+def hash_buckets(hashed: Column) -> list[Column]:
+    """Ever finer buckets, coarsest first."""
+    return [hash_bucket(hashed, level) for level in (1, 2, 3)]
 
 
 def hash_int(hashed: Column) -> Column:

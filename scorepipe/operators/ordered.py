@@ -27,11 +27,11 @@ def bucket_target(df: DataFrame) -> int:
     return min(MAX_BUCKETS, max(8, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def range_bounds(df: DataFrame, col: str, buckets: int | None = None) -> list[float]:
-    """Inner bucket boundaries of a numeric column: approximate quantiles, at most MAX_BUCKETS."""
+def range_bounds(df: DataFrame, col: str, buckets: int | None = None, share: float = 0.1) -> list[float]:
+    """Inner bucket boundaries of a numeric column: approximate quantiles of a sample, at most MAX_BUCKETS."""
     buckets = buckets or bucket_target(df)
     probs = [i / buckets for i in range(1, buckets)]
-    found = df.agg(F.percentile_approx(quoted(col).cast("double"), probs, 10 * buckets)).first()[0]
+    found = df.sample(share, 17).agg(F.percentile_approx(quoted(col).cast("double"), probs, 10 * buckets)).first()[0]
     return sorted({float(v) for v in found or [] if v is not None and math.isfinite(v)})
 
 
@@ -109,7 +109,7 @@ def running_counts(df: DataFrame, label: str, score: str, by: list[str] = (), bu
 def dense_index(df: DataFrame, key: str, seed: int | str, out: str = "idx") -> DataFrame:
     """Add 0..n-1 in hash order of the key (which must be unique).
 
-    Offsets come from at most 65,536 bucket counts; that bound is what allows the broadcast.
+    Offsets come from at most 4,096 bucket counts; that bound is what allows the broadcast.
     """
     hashed = df.withColumn("_h", hash_key(seed, quoted(key))).withColumn("_b", hash_bucket(F.col("_h")))
     sizes = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -134,24 +134,30 @@ def class_sizes(df: DataFrame, label: str | None) -> dict[object, int]:
 
 
 def order_cuts(
-    df: DataFrame, label: str | None, order: list[Column], bucket: Column,
-    ranks: Callable[[Column, Column], list[Column]],
+    df: DataFrame, label: str | None, order: list[Column], buckets: list[Column],
+    ranks: Callable[[Column, Column], list[Column]], rank_rows: int = 2_000_000,
 ) -> dict[object, list[tuple | None]]:
     """Order keys at given ranks of each class: {class: [key of each rank]}.
 
     `ranks(class, class size)` lists the wanted 1-based ranks as columns; rank 0 has no key (None).
+    `buckets` are ever finer parts of the order.
 
-    Two scans of the key columns and no sort of the data: bucket counts locate the bucket that
-    holds a rank, then only that bucket is ranked. What reaches the driver is one row per class and
-    rank, and a label with more than MAX_CLASSES values is refused.
+    Scans of the key columns and no sort of the data: bucket counts locate the bucket that holds a
+    rank, finer buckets are counted only inside located ones that hold more than `rank_rows` rows,
+    and only the rows of the last located bucket are ranked. What reaches the driver is one row
+    per class and rank, and a label with more than MAX_CLASSES values is refused.
     """
+    spark = df.sparkSession
     g = F.lit(0) if label is None else quoted(label)
     keys = [f"k{i}" for i in range(len(order))]
-    rows = df.select(g.alias("g"), bucket.alias("b"), *[c.alias(k) for c, k in zip(order, keys)])
-    sizes = rows.groupBy("g", "b").agg(F.count(F.lit(1)).alias("n"))
+    levels = [f"b{i}" for i in range(len(buckets))]
+    rows = df.select(
+        g.alias("g"), *[c.alias(b) for c, b in zip(buckets, levels)], *[c.alias(k) for c, k in zip(order, keys)]
+    )
+    sizes = rows.groupBy("g", "b0").agg(F.count(F.lit(1)).alias("n"))
     per_class = Window.partitionBy("g")
     cum = sizes.select(
-        "g", "b", "n", F.sum("n").over(per_class.orderBy("b")).alias("upto"), F.sum("n").over(per_class).alias("total")
+        "g", "b0", "n", F.sum("n").over(per_class.orderBy("b0")).alias("upto"), F.sum("n").over(per_class).alias("total")
     )
     wanted = ranks(F.col("g"), F.col("total"))
     before = F.col("upto") - F.col("n")
@@ -159,21 +165,39 @@ def order_cuts(
         cum.select("*", F.posexplode(F.array(*[r.cast("bigint") for r in wanted])).alias("cut", "want"))
         # rank 0 is listed once per class, with its first bucket
         .filter(((F.col("want") > before) & (F.col("want") <= F.col("upto"))) | ((F.col("want") == 0) & (before == 0)))
-        .select("g", "b", "cut", (F.col("want") - before).cast("int").alias("rn"))
+        .select("g", "b0", "cut", (F.col("want") - before).alias("rn"), "n")
     )
     limit = MAX_CLASSES * len(wanted) + 1
     located = hits.limit(limit).collect()
     if len(located) == limit:
         raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
     cuts: dict[object, list[tuple | None]] = {r["g"]: [None] * len(wanted) for r in located}
-    picks = [tuple(r) for r in located if r["rn"] > 0]
-    if picks:
-        kinds = dict(hits.dtypes)
-        small = df.sparkSession.createDataFrame(picks, f"pg {kinds['g']}, pb {kinds['b']}, cut INT, rn INT")
-        edge = rows.join(F.broadcast(small), F.col("g").eqNullSafe(F.col("pg")) & (F.col("b") == F.col("pb")))
-        place = F.row_number().over(Window.partitionBy("g", "b", "cut").orderBy(*keys))
-        for r in edge.withColumn("place", place).filter(F.col("place") == F.col("rn")).select("g", "cut", *keys).collect():
-            cuts[r["g"]][r["cut"]] = tuple(r[k] for k in keys)
+    kinds = dict(rows.dtypes)
+
+    def members(found, level):
+        """Rows of the located buckets, once per cut they serve; the table is bounded by `limit`."""
+        small = spark.createDataFrame([tuple(r)[:4] for r in found], f"pg {kinds['g']}, pb {kinds[level]}, cut INT, rn BIGINT")
+        return rows.join(F.broadcast(small), F.col("g").eqNullSafe(F.col("pg")) & (F.col(level) == F.col("pb")))
+
+    todo, level = [r for r in located if r["rn"] > 0], 0
+    while todo:
+        crowded = [r for r in todo if r["n"] > rank_rows] if level + 1 < len(levels) else []
+        ready = [r for r in todo if r not in crowded]
+        if ready:
+            place = F.row_number().over(Window.partitionBy("g", "cut").orderBy(*keys))
+            placed = members(ready, levels[level]).withColumn("place", place).filter(F.col("place") == F.col("rn"))
+            for r in placed.select("g", "cut", *keys).collect():
+                cuts[r["g"]][r["cut"]] = tuple(r[k] for k in keys)
+        if crowded:
+            fine = levels[level + 1]
+            counted = members(crowded, levels[level]).groupBy("g", "cut", "rn", fine).agg(F.count(F.lit(1)).alias("n"))
+            upto = F.sum("n").over(Window.partitionBy("g", "cut").orderBy(fine))
+            crowded = (
+                counted.withColumn("upto", upto)
+                .filter((F.col("rn") > before) & (F.col("rn") <= F.col("upto")))
+                .select("g", fine, "cut", (F.col("rn") - before).alias("rn"), "n").collect()
+            )
+        todo, level = crowded, level + 1
     return cuts
 
 
@@ -185,50 +209,65 @@ def at_or_before(order: list[Column], cut: tuple) -> Column:
     return cond
 
 
-def order_statistics(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = 100_000) -> DataFrame:
+def order_statistics(
+    df: DataFrame, cols: list[str], probs: list[float], rank_rows: int = 100_000, sample_rows: int = 1_000_000
+) -> DataFrame:
     """Exact quantiles with linear interpolation: (column, prob, value), NULL and NaN left out.
 
-    A sketch brackets every wanted rank, one aggregation counts what lies below the bracket, and only
-    values inside a bracket are ranked (a few rows in `accuracy`). Should a bracket miss its rank, it
-    is widened to the whole range, so the answer does not depend on the sketch.
+    Every wanted rank gets a bracket of values. While a bracket holds more than `rank_rows` rows, a
+    sketch over a sample of its rows proposes a narrower one, and an exact count of the rows below
+    and inside decides whether it still holds the rank. Only values inside the last brackets are
+    ranked. The sample steers how fast brackets shrink; the answer does not depend on it.
     """
     spark = df.sparkSession
     x = df.select(*[F.nanvl(quoted(c).cast("double"), F.lit(None)).alias(f"x{i}") for i, c in enumerate(cols)])
-    slack = 4.0 / accuracy
-    marks = [m for p in probs for m in (max(0.0, p - slack), min(1.0, p + slack))]
-    first = x.agg(
-        *[F.count(c).alias(f"n{c}") for c in x.columns],
-        *[F.percentile_approx(c, marks, accuracy).alias(f"q{c}") for c in x.columns],
-    ).first()
-
+    sizes = x.agg(*[F.count(c).alias(c) for c in x.columns]).first()
     steps = []  # one per column and probability that has rows
-    for i, c in enumerate(x.columns):
-        n = first[f"n{c}"]
-        for j, p in enumerate(probs if n else []):
-            at = (n - 1) * p
+    for c, name in zip(x.columns, cols):
+        for p in probs if sizes[c] else []:
+            at = (sizes[c] - 1) * p
             steps.append({
-                "x": c, "column": cols[i], "prob": float(p), "lo": first[f"q{c}"][2 * j], "hi": first[f"q{c}"][2 * j + 1],
-                "r1": math.floor(at) + 1, "r2": math.ceil(at) + 1, "part": at - math.floor(at),
+                "x": c, "column": name, "prob": float(p), "lo": -math.inf, "hi": math.inf, "below": 0, "upto": sizes[c],
+                "r1": math.floor(at) + 1, "r2": math.ceil(at) + 1, "part": at - math.floor(at), "open": True,
             })
     if not steps:
         return spark.createDataFrame([], "column STRING, prob DOUBLE, value DOUBLE")
-    counted = x.selectExpr(*[
-        e
-        for k, s in enumerate(steps)
-        for e in (
-            f"count_if({s['x']} < {_double(s['lo'])}) AS below{k}", f"count_if({s['x']} <= {_double(s['hi'])}) AS upto{k}",
-        )
-    ]).first()
-    for k, s in enumerate(steps):
-        below = counted[f"below{k}"]
-        if not (below < s["r1"] and s["r2"] <= counted[f"upto{k}"]):
-            s["lo"], s["hi"], below = float("-inf"), float("inf"), 0
-        s["r1"] -= below
-        s["r2"] -= below
+    while active := [s for s in steps if s["open"] and s["upto"] - s["below"] > rank_rows]:
+        fraction = min(1.0, sample_rows / max(s["upto"] - s["below"] for s in active))
+        seen = x if fraction == 1.0 else x.sample(fraction, 17)
+        asks = []
+        for k, s in enumerate(active):
+            m = s["upto"] - s["below"]
+            slack = 2.0 / math.sqrt(max(1.0, m * fraction)) + 2.0 / 10_000
+            s["ask"] = [(s["r1"] - s["below"] - 1) / m - slack, (s["r2"] - s["below"]) / m + slack]
+            marks = ", ".join(str(min(1.0, max(0.0, q))) + "D" for q in s["ask"])
+            asks.append(f"percentile_approx(IF({_inside(s)}, {s['x']}, NULL), array({marks}), 10000) AS q{k}")
+        found = seen.selectExpr(*asks).first()
+        for k, s in enumerate(active):
+            q = found[f"q{k}"] or [s["lo"], s["hi"]]
+            s["try"] = (q[0] if s["ask"][0] > 0 else s["lo"], q[1] if s["ask"][1] < 1 else s["hi"])
+        counted = x.selectExpr(*[
+            e
+            for k, s in enumerate(active)
+            for e in (
+                f"count_if({s['x']} < {_double(s['try'][0])}) AS below{k}", f"count_if({s['x']} <= {_double(s['try'][1])}) AS upto{k}",
+            )
+        ]).first()
+        for k, s in enumerate(active):
+            was = (s["below"], s["upto"])
+            if counted[f"below{k}"] < s["r1"]:
+                s["lo"], s["below"] = s["try"][0], counted[f"below{k}"]
+            if counted[f"upto{k}"] >= s["r2"]:
+                s["hi"], s["upto"] = s["try"][1], counted[f"upto{k}"]
+            # a bracket that no longer shrinks holds few distinct values, which collapse when counted
+            s["open"] = (s["upto"] - s["below"]) < 0.5 * (was[1] - was[0]) and s["lo"] < s["hi"]
+    for s in steps:
+        s["r1"] -= s["below"]
+        s["r2"] -= s["below"]
 
     # the cells inside a bracket, each with the step it serves
     cells = ", ".join(
-        f"IF({s['x']} BETWEEN {_double(s['lo'])} AND {_double(s['hi'])}, struct({k} AS k, {s['x']} AS v), NULL)"
+        f"IF({_inside(s)}, struct({k} AS k, {s['x']} AS v), NULL)"
         for k, s in enumerate(steps)
     )
     inside = x.selectExpr(f"inline(array({cells}))").filter("k IS NOT NULL").groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
@@ -250,3 +289,7 @@ def order_statistics(df: DataFrame, cols: list[str], probs: list[float], accurac
 
 def _double(v: float) -> str:
     return f"double('{v}')"
+
+
+def _inside(step: dict) -> str:
+    return f"{step['x']} BETWEEN {_double(step['lo'])} AND {_double(step['hi'])}"

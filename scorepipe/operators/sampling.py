@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scorepipe.functions.columns import quoted
-from scorepipe.functions.keyed import hash_bucket, hash_int, hash_key, unit
+from scorepipe.functions.keyed import hash_buckets, hash_int, hash_key, unit
 from scorepipe.operators.neighbors import kept_neighbors
 from scorepipe.operators.ordered import (
     MAX_CLASSES,
@@ -39,7 +39,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test_frac: float = 0.3
     hashed = hash_key(seed, quoted(key))
     order = [hashed, quoted(key)]
     share = F.lit(float(test_frac))
-    cuts = order_cuts(df, label, order, hash_bucket(hashed), lambda _, n: [F.floor(share * n + F.lit(0.5).cast("double"))])
+    cuts = order_cuts(df, label, order, hash_buckets(hashed), lambda _, n: [F.floor(share * n + F.lit(0.5).cast("double"))])
     test = F.lit(False)
     for c, (cut,) in cuts.items():
         if cut is not None:
@@ -65,7 +65,7 @@ def kfold(df: DataFrame, key: str, k: int = 5, seed: int = 42, out: str = "fold"
         """Rank of the last row of every fold but the final one."""
         return [F.floor(n / k) * i + F.least(F.lit(i), n % k) for i in range(1, k)]
 
-    cuts = order_cuts(df, None, order, hash_bucket(hashed), ends).get(0, [None] * (k - 1))
+    cuts = order_cuts(df, None, order, hash_buckets(hashed), ends).get(0, [None] * (k - 1))
     return df.withColumn(out, _fold_column(order, cuts))
 
 
@@ -96,7 +96,7 @@ def stratified_kfold(df: DataFrame, label: str, key: str, k: int = 5, out: str =
     bucketed = with_range_bucket(df.withColumn("_k", quoted(key).cast("double")), "_k", bounds, "_b")
     order = [quoted(key)]
     fold = F.lit(None).cast("int")
-    for c, edges in order_cuts(bucketed, label, order, F.col("_b"), of_class).items():
+    for c, edges in order_cuts(bucketed, label, order, [F.col("_b")], of_class).items():
         fold = F.when(quoted(label).eqNullSafe(F.lit(c)), _fold_column(order, edges)).otherwise(fold)
     return df.withColumn(out, fold)
 

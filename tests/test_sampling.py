@@ -66,6 +66,20 @@ def test_fold_frames_and_weight(spark):
     assert w == [3.0, 1.0, 1.0, 1.0]
 
 
+def test_cuts_refine_crowded_buckets(spark):
+    from scorepipe.functions.keyed import hash_buckets, hash_key
+    from scorepipe.operators.ordered import order_cuts
+
+    df = labelled(spark, 3000, 900)
+    h = hash_key(1, F.col("id"))
+    wants = lambda _, n: [F.lit(0), F.lit(1), F.floor(n / 2), n]
+    got = [order_cuts(df, "y", [h, F.col("id")], hash_buckets(h), wants, rank_rows=r) for r in (0, 1, 10**6)]
+    coarse = order_cuts(df, "y", [h, F.col("id")], [F.substring(h, 1, 1), *hash_buckets(h)], wants, rank_rows=3)
+    assert got[0] == got[1] == got[2] == coarse and got[0][1][0] is None
+    ordered = df.filter("y = 1").orderBy(h, "id").select("id").toPandas()["id"].tolist()
+    assert [c[1] for c in got[0][1][1:]] == [ordered[0], ordered[449], ordered[899]]
+
+
 def test_dense_index(spark):
     got = dense_index(spark.range(1000), "id", "s").toPandas()
     assert sorted(got.idx) == list(range(1000)) and got.idx.tolist() != got.id.tolist()
