@@ -210,7 +210,7 @@ def at_or_before(order: list[Column], cut: tuple) -> Column:
 
 
 def order_statistics(
-    df: DataFrame, cols: list[str], probs: list[float], rank_rows: int = 100_000, sample_rows: int = 1_000_000
+    df: DataFrame, cols: list[str], probs: list[float], rank_rows: int = 1_000_000, sample_rows: int = 1_000_000
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: (column, prob, value), NULL and NaN left out.
 
@@ -261,19 +261,18 @@ def order_statistics(
                 s["hi"], s["upto"] = s["try"][1], counted[f"upto{k}"]
             # a bracket that no longer shrinks holds few distinct values, which collapse when counted
             s["open"] = (s["upto"] - s["below"]) < 0.5 * (was[1] - was[0]) and s["lo"] < s["hi"]
+    brackets: dict[str, tuple[int, str]] = {}
     for s in steps:
         s["r1"] -= s["below"]
         s["r2"] -= s["below"]
+        s["k"] = brackets.setdefault(_inside(s), (len(brackets), s["x"]))[0]
 
-    # the cells inside a bracket, each with the step it serves
-    cells = ", ".join(
-        f"IF({_inside(s)}, struct({k} AS k, {s['x']} AS v), NULL)"
-        for k, s in enumerate(steps)
-    )
+    # the cells inside each bracket; ranks that share a bracket share its cells
+    cells = ", ".join(f"IF({cond}, struct({k} AS k, {c} AS v), NULL)" for cond, (k, c) in brackets.items())
     inside = x.selectExpr(f"inline(array({cells}))").filter("k IS NOT NULL").groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     table = spark.createDataFrame(
-        [(k, s["column"], s["prob"], s["r1"], s["r2"], float(s["part"])) for k, s in enumerate(steps)],
+        [(s["k"], s["column"], s["prob"], s["r1"], s["r2"], float(s["part"])) for s in steps],
         "k INT, column STRING, prob DOUBLE, r1 BIGINT, r2 BIGINT, part DOUBLE",
     )
     ranked = inside.withColumn("upto", F.sum("n").over(w)).withColumn("before", F.col("upto") - F.col("n"))
