@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorepipe.llm import common, simhash
+from scorepipe.llm import common, simhash, suffix
 
 QUERIES = {}
 ORACLES = {}
@@ -18,3 +18,8 @@ def query(f):
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(common.documents(spark, sf_dir))
+
+
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(common.documents(spark, sf_dir))
