@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorepipe.llm import common, simhash, suffix
+from scorepipe.llm import common, quality, simhash, suffix
+from scorepipe.sources.tables import read_parquet
 
 QUERIES = {}
 ORACLES = {}
@@ -15,6 +16,11 @@ def query(f):
     return f
 
 
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(common.documents(spark, sf_dir), read_parquet(spark, sf_dir, "labels"))
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(common.documents(spark, sf_dir))
