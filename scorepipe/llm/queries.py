@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorepipe.llm import common, pieces, quality, simhash, suffix
+from scorepipe.llm import common, pieces, quality, render, simhash, suffix
 from scorepipe.sources.tables import read_parquet
 
 QUERIES = {}
@@ -34,3 +34,8 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(common.documents(spark, sf_dir), pieces.read_model())
+
+
+@query
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return render.page_texts(read_parquet(spark, sf_dir, "pages"))
