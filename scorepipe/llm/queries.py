@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorepipe.llm import common, pieces, quality, render, simhash, suffix
+from scorepipe.llm import archive, common, pieces, quality, render, simhash, suffix
 from scorepipe.sources.tables import read_parquet
 
 QUERIES = {}
@@ -39,3 +39,8 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render.page_texts(read_parquet(spark, sf_dir, "pages"))
+
+
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive.archived_pages(read_parquet(spark, sf_dir, "pages"))
