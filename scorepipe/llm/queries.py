@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from scorepipe.llm import archive, common, pieces, quality, render, simhash, suffix
+from scorepipe.llm import archive, common, pieces, quality, render, reshard, simhash, suffix
 from scorepipe.sources.tables import read_parquet
 
 QUERIES = {}
@@ -44,3 +45,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.archived_pages(read_parquet(spark, sf_dir, "pages"))
+
+
+@query
+def op8_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From 32 shards by source, one of them with a third of the rows, to 40 of equal counts."""
+    by_source = F.crc32(F.coalesce(F.col("source"), F.lit("")).cast("binary")) % 32
+    return reshard.reshard(common.documents(spark, sf_dir), by_source)[0]
