@@ -3,7 +3,8 @@
 Every suffix has a bucket: the name of its first q bytes, q being half the string length. Refining a bucket
 means sorting it on the bucket names of later offsets: the name of a doubled prefix is the pair of the names
 at the offset and at half its length further on, and refined names serve the next refinement. Names are
-64-bit hashes of content, so every task derives the same ones and no global ranking is needed.
+hashes of content (64 bits to deal by, 48 more inside a bucket), so every task derives the same ones and no
+global ranking is needed.
 
 Sorting all suffixes would move many times the text. Of each window of ``length`` bytes only the suffix with
 the smallest q-gram name stands for it (the last one on a tie); which one depends on the window's bytes
@@ -138,13 +139,15 @@ def earlier(*names: np.ndarray, doc: np.ndarray, code: np.ndarray) -> tuple[np.n
     return order[fresh], order[repeat]
 
 
-#: Rows that travel: (a, b) names to deal and sort by, doc, and code = first window * 65,536 + windows.
+#: Rows that travel: names a to deal and b to sort by, doc, and code = first window * 65,536 + windows.
 #: A range already known as repeated travels along as code = -1 - first window, b = end, a = any name.
-ROWS = "a BIGINT, b BIGINT, doc BIGINT, code BIGINT"
+#: b comes first and has zeros below, next to the row's own leading zeros: that shortens compressed rows.
+ROWS = "b BIGINT, a BIGINT, doc BIGINT, code BIGINT"
+NAME_BITS = ~np.uint64(0xFFFF)
 
 
 def row_batch(a, b, doc, code) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (a, b, doc, code)], ["a", "b", "doc", "code"])
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (b, a, doc, code)], ["b", "a", "doc", "code"])
 
 
 def range_batch(doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.RecordBatch:
@@ -163,7 +166,7 @@ def sampled(docs: DataFrame, length: int) -> DataFrame:
                 doc, low = ids[text], low + offset[text]
                 code = low << 16 | n
                 keep, repeat = earlier(gram, name, doc=doc, code=code)
-                yield row_batch(gram[keep], name[keep], doc[keep], code[keep])
+                yield row_batch(gram[keep], name[keep] & NAME_BITS, doc[keep], code[keep])
                 if len(repeat):
                     yield range_batch(doc[repeat], low[repeat], low[repeat] + n[repeat])
 
@@ -222,14 +225,15 @@ def packed(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        squeeze = zstandard.ZstdCompressor(level=1)
+        squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for rows, data, starts in common.text_chunks(batch, "text"):
                 raw = data.tobytes()
                 z = [squeeze.compress(raw[i:j]) for i, j in zip(starts[:-1], starts[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(common.longs(batch, "doc_id")[rows]), pa.array(z, pa.binary())], ["doc_id", "z"])
 
-    return docs.mapInArrow(work, "doc_id BIGINT, z BINARY")
+    # the filter keeps every row; an inner join would add it, and both uses must look alike to share a shuffle
+    return docs.mapInArrow(work, "doc_id BIGINT, z BINARY").filter("doc_id IS NOT NULL")
 
 
 def unpacked(batch: pa.RecordBatch, squeezed) -> Iterator[tuple[int, bytes, np.ndarray]]:
@@ -245,7 +249,7 @@ def by_document(marks: DataFrame) -> DataFrame:
     return marks.groupBy("doc").agg(F.collect_list(F.struct("code", "end")).alias("marks")).withColumnRenamed("doc", "doc_id")
 
 
-def open_windows(docs: DataFrame, marks: DataFrame, length: int) -> DataFrame:
+def open_windows(texts: DataFrame, marks: DataFrame, length: int) -> DataFrame:
     """Every window of the ranges that are still open, with both its bucket names; known ranges travel along."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,12 +270,12 @@ def open_windows(docs: DataFrame, marks: DataFrame, length: int) -> DataFrame:
                         continue
                     first, last = Buckets(data[at : at + CHUNK + length - 1], length, powers).windows()
                     p = np.concatenate([np.arange(max(i, at), min(j, at + CHUNK)) for i, j in zip(low[inside], high[inside])])
-                    yield row_batch(first[p - at], last[p - at], np.full(len(p), doc), p << 16 | 1)
+                    yield row_batch(first[p - at], last[p - at] & NAME_BITS, np.full(len(p), doc), p << 16 | 1)
 
-    return packed(docs).join(by_document(marks).hint("shuffle_hash"), "doc_id").mapInArrow(work, ROWS)
+    return texts.join(by_document(marks).hint("shuffle_hash"), "doc_id").mapInArrow(work, ROWS)
 
 
-def cut(docs: DataFrame, marks: DataFrame, length: int, with_text: bool) -> DataFrame:
+def cut(texts: DataFrame, marks: DataFrame, length: int, with_text: bool) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
@@ -293,17 +297,19 @@ def cut(docs: DataFrame, marks: DataFrame, length: int, with_text: bool) -> Data
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], names)
 
     schema = "doc_id BIGINT, n_bytes BIGINT, n_removed BIGINT, n_spans BIGINT, kept_sha256 STRING, kept BINARY"
-    return packed(docs).join(by_document(marks).hint("shuffle_hash"), "doc_id", "left").mapInArrow(work, schema)
+    return texts.join(by_document(marks).hint("shuffle_hash"), "doc_id", "left").mapInArrow(work, schema)
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, code, end): ranges [-1 - code, end) of window starts whose ``length`` bytes also start earlier."""
+def repeated_spans(plain: DataFrame, texts: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(doc, code, end): ranges [-1 - code, end) of window starts whose ``length`` bytes also start earlier.
+
+    ``texts`` are the packed texts of ``plain``; one frame for this and for the cutting, so that Spark shuffles it once.
+    """
     if not LEAST_LENGTH <= length <= MOST_LENGTH:
         raise ValueError(f"length must lie between {LEAST_LENGTH} and {MOST_LENGTH}")
-    plain = plain_texts(docs, key, text)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(plain.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     first = refined(sampled(plain, length), parts, settle=False)
-    return refined(open_windows(plain, first, length), parts, settle=True)
+    return refined(open_windows(texts, first, length), parts, settle=True)
 
 
 def plain_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -321,6 +327,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
     comes back null. Extra columns are ignored. An empty table gives no rows.
     """
     plain = plain_texts(docs, key, text)
-    out = cut(plain, repeated_spans(docs, length, key, text), length, with_text)
+    texts = packed(plain)
+    out = cut(texts, repeated_spans(plain, texts, length), length, with_text)
     out = out.withColumn("doc_id", F.nullif("doc_id", F.lit(int(np.iinfo(np.int64).min))))
     return out if with_text else out.drop("kept")
