@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorepipe.llm import common
 from scorepipe.session import work_path
 
 SPACE = uuid.UUID("8f6f2c3a-52a2-5d0c-9a53-0f3b6f0f0b11")
@@ -192,7 +193,7 @@ def arc_to_warc(arcs: DataFrame, path: str, least_bytes: int = 0, file_bytes: in
     identifier; records without a number come last) stays whole and the rest become revisits. Equal records
     (same URL, date, number and payload) are one record that occurs several times: all stay whole or none.
     """
-    narrow = parsed(arcs, bodies=False)
+    narrow = common.settled(parsed(arcs, bodies=False))
     order = F.struct(F.col("sequence").isNull().alias("last"), "sequence", "record_id")
     first = narrow.filter(F.col("size") >= least_bytes).groupBy("digest", "size").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     refers = narrow.join(first, ["digest", "size"]).filter("record_id <> first.record_id").select("record_id", F.col("first.record_id").alias("response")).distinct()
