@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorepipe.llm import archive, common, pieces, quality, render, reshard, simhash, suffix
+from scorepipe.llm import archive, common, licenses, outliers, pieces, quality, render, reshard, simhash, suffix
 from scorepipe.sources.tables import read_parquet
 
 QUERIES = {}
@@ -52,3 +52,13 @@ def op8_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From 32 shards by source, one of them with a third of the rows, to 40 of equal counts."""
     by_source = F.crc32(F.coalesce(F.col("source"), F.lit("")).cast("binary")) % 32
     return reshard.reshard(common.documents(spark, sf_dir), by_source)[0]
+
+
+@query
+def op6_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.quality_rules(common.documents(spark, sf_dir))
+
+
+@query
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_labels(common.documents(spark, sf_dir))
