@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorepipe.llm import archive, common, licenses, outliers, pieces, quality, render, reshard, simhash, suffix
+from scorepipe.llm import archive, common, decontaminate, licenses, outliers, pieces, quality, render, reshard, simhash, suffix
 from scorepipe.sources.tables import read_parquet
 
 QUERIES = {}
@@ -62,3 +62,8 @@ def op6_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_labels(common.documents(spark, sf_dir))
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(common.documents(spark, sf_dir), read_parquet(spark, sf_dir, "benchmark"))
