@@ -8,8 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorepipe.llm import common, simhash
+from scorepipe.llm import common, decontaminate, pieces, quality, simhash, suffix
 from scorepipe.session import work_path
+from scorepipe.sources.tables import read_parquet
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts, with all columns; of a repeated id all rows or none."""
+    return quality.accepted(docs, read_parquet(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,12 +23,31 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.keep_first(docs)
 
 
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; bytes of strings of 100 bytes that start earlier go from its text, n_chars follows."""
+    return suffix.cleaned(docs)
+
+
+def benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.without_items(docs, read_parquet(spark, sf_dir, "benchmark"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document that is left."""
+    return pieces.encode(docs, pieces.read_model())
+
+
 STAGES = [
+    ("quality", good_quality),
     ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("decontamination", benchmark_items),
+    ("tokens", tokens),
 ]
 
 ORACLE_SQL = None
-"""Classifier, latent semantic search and tokens have no SQL; tests compare the stages with brute force."""
+"""Trees, latent search and tokens have no SQL; tests compare every stage with brute force."""
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,8 +26,11 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-KNOWN_STRETCHES = 1 << 19
+KNOWN_STRETCHES = 1 << 16
 """Distinct stretches that a task remembers; beyond, it forgets all and goes on."""
+CHUNK = 1 << 19
+BATCH = 1 << 10
+"""Stretches that the tokenizer encodes in one call; its results are large while they last."""
 
 
 def fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -150,23 +153,32 @@ class Encoder:
         steps += [normalizers.Replace(" {2,}", " "), normalizers.Strip()] if self.model.trim else []
         self.normal = normalizers.Sequence(steps) if steps else None
         self.judge = sentencepiece.SentencePieceProcessor(model_proto=raw)
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.agrees: list[bool] = []
+        self.ids = np.empty(0, np.int32)  # of all known stretches, one after the other
+        self.sizes = np.empty(0, np.int64)
+        self.agrees = np.empty(0, bool)
 
     def learn(self, stretches: list[bytes]) -> None:
         if len(self.known) + len(stretches) > KNOWN_STRETCHES:
-            self.known, self.ids, self.agrees = {}, [], []
+            self.forget()
         new = [s for s in stretches if s not in self.known]
-        texts = [s.decode() for s in new]
-        ours = self.stretches.encode_batch_fast(texts, add_special_tokens=False)
-        judged = self.judge.encode([t[1:] if self.model.dummy_prefix else t for t in texts], num_threads=2)
-        for s, o, j in zip(new, ours, judged):
-            got = o.ids
-            self.known[s] = len(self.ids)
-            self.ids.append(np.array(got, np.int32))
+        ids, sizes, agrees = [self.ids], [], []
+        for i in range(0, len(new), BATCH):
+            part = new[i : i + BATCH]
+            texts = [s.decode() for s in part]
+            ours = [e.ids for e in self.stretches.encode_batch_fast(texts, add_special_tokens=False)]
+            judged = self.judge.encode([t[1:] if self.model.dummy_prefix else t for t in texts], num_threads=2)
             # a lone marker is the dummy prefix of an empty text, which the other library drops
-            self.agrees.append(got == j or (s == b" " and self.model.dummy_prefix))
+            agrees += [o == j or (s == b" " and self.model.dummy_prefix) for s, o, j in zip(part, ours, judged)]
+            sizes += map(len, ours)
+            ids.append(np.fromiter((x for o in ours for x in o), np.int32))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.ids = np.concatenate(ids)
+        self.sizes = np.concatenate([self.sizes, np.array(sizes, np.int64)])
+        self.agrees = np.concatenate([self.agrees, np.array(agrees, bool)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's ids start and the last ends, whether both libraries agree)."""
@@ -187,16 +199,14 @@ class Encoder:
         parts = [raw[i:j] for i, j in zip(at.tolist(), ends.tolist())]
         self.learn(list(dict.fromkeys(parts)))
         which = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
-        sizes = np.fromiter(map(len, self.ids), np.int64, len(self.ids))
-        begin = np.concatenate([[0], np.cumsum(sizes)])
-        every = np.concatenate([*self.ids, np.empty(0, np.int32)])
-        size = sizes[which]
+        begin = np.concatenate([[0], np.cumsum(self.sizes)])
+        size = self.sizes[which]
         total = np.concatenate([[0], np.cumsum(size)])
-        ids = every[np.repeat(begin[which] - total[:-1], size) + np.arange(total[-1])]
+        ids = self.ids[np.repeat(begin[which] - total[:-1], size) + np.arange(total[-1])]
         per_text = np.zeros(len(texts), np.int64)
         np.add.at(per_text, owner, size)
         fine = np.ones(len(texts), bool)
-        np.logical_and.at(fine, owner, np.array(self.agrees, bool)[which])
+        np.logical_and.at(fine, owner, self.agrees[which])
         return ids.astype(np.int32), np.concatenate([[0], np.cumsum(per_text)]), fine
 
 
@@ -213,7 +223,7 @@ def encode(docs: DataFrame, model: bytes, key: str = "doc_id", text: str = "text
         encoder = Encoder(model)
         table = piece_bytes(encoder.model)
         for batch in batches:
-            for rows, data, starts in common.text_chunks(batch, "text", 1 << 23):
+            for rows, data, starts in common.text_chunks(batch, "text", CHUNK):
                 raw = data.tobytes()
                 texts = [raw[i:j].decode("utf-8", "replace") for i, j in zip(starts[:-1].tolist(), starts[1:].tolist())]
                 ids, to, fine = encoder.encode(texts)

@@ -209,3 +209,19 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", t
     measures = common.settled(measured(docs))
     out = scored(measures, fit(measures, labels, label, fit_rows))
     return out.select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text is predicted good, with all their columns.
+
+    The verdict is made in the row's own pass, so repeated and null ids need no join.
+    """
+    trees = fit(common.settled(measured(docs)), labels)
+    schema = docs.schema
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [trees.score(statistics(data, starts)) >= THRESHOLD for _, data, starts in common.text_chunks(batch, "text", CHUNK)]
+            yield batch.filter(pa.array(np.concatenate(keep) if keep else np.empty(0, bool)))
+
+    return docs.mapInArrow(work, schema)

@@ -220,7 +220,7 @@ def refined(rows: DataFrame, parts: int, settle: bool) -> DataFrame:
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    """Texts compressed for their way through a shuffle."""
+    """Texts compressed for their way through a shuffle; a column ``rest`` goes along as it is."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -230,18 +230,21 @@ def packed(docs: DataFrame) -> DataFrame:
             for rows, data, starts in common.text_chunks(batch, "text"):
                 raw = data.tobytes()
                 z = [squeeze.compress(raw[i:j]) for i, j in zip(starts[:-1], starts[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(common.longs(batch, "doc_id")[rows]), pa.array(z, pa.binary())], ["doc_id", "z"])
+                own = [pa.array(common.longs(batch, "doc_id")[rows]), pa.array(z, pa.binary())]
+                more = [batch.column(i)[rows] for i, n in enumerate(batch.schema.names) if n == "rest"]
+                yield pa.RecordBatch.from_arrays([*own, *more], ["doc_id", "z", "rest"][: 2 + len(more)])
 
+    more = "".join(f", rest {kind}" for name, kind in docs.dtypes if name == "rest")
     # the filter keeps every row; an inner join would add it, and both uses must look alike to share a shuffle
-    return docs.mapInArrow(work, "doc_id BIGINT, z BINARY").filter("doc_id IS NOT NULL")
+    return docs.mapInArrow(work, f"doc_id BIGINT, z BINARY{more}").filter("doc_id IS NOT NULL")
 
 
 def unpacked(batch: pa.RecordBatch, squeezed) -> Iterator[tuple[int, bytes, np.ndarray]]:
     marks = batch.column(batch.schema.get_field_index("marks"))
     for doc, z, found in zip(common.longs(batch, "doc_id").tolist(), batch.column(batch.schema.get_field_index("z")), marks):
-        pairs = np.zeros((0, 2), np.int64) if not found.is_valid else found.values.flatten()
+        pairs = np.zeros((0, 2), np.int64)
         if found.is_valid:
-            pairs = np.stack([pairs[0].to_numpy(), pairs[1].to_numpy()], axis=1)
+            pairs = np.stack([x.to_numpy() for x in found.values.flatten()], axis=1)
         yield doc, squeezed.decompress(z.as_py()), pairs
 
 
@@ -275,28 +278,31 @@ def open_windows(texts: DataFrame, marks: DataFrame, length: int) -> DataFrame:
     return texts.join(by_document(marks).hint("shuffle_hash"), "doc_id").mapInArrow(work, ROWS)
 
 
-def cut(texts: DataFrame, marks: DataFrame, length: int, with_text: bool) -> DataFrame:
+def without(text: bytes, pairs: np.ndarray, length: int) -> tuple[bytes, int]:
+    """(what is left of a text, removed runs), given its ranges of repeated window starts."""
+    _, low, high = common.merged_ranges(np.zeros(len(pairs), np.int64), -1 - pairs[:, 0], pairs[:, 1] + length - 1)
+    keep, at = [], 0
+    for i, j in zip(low.tolist(), high.tolist()):
+        keep.append(text[at:i])
+        at = j
+    return b"".join([*keep, text[at:]]), len(low)
+
+
+def cut(texts: DataFrame, marks: DataFrame, length: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         squeezed = zstandard.ZstdDecompressor()
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for doc, text, pairs in unpacked(batch, squeezed):
-                n = len(text)
-                _, low, high = common.merged_ranges(np.zeros(len(pairs), np.int64), -1 - pairs[:, 0], pairs[:, 1] + length - 1)
-                keep, at = [], 0
-                for i, j in zip(low.tolist(), high.tolist()):
-                    keep.append(text[at:i])
-                    at = j
-                kept = b"".join([*keep, text[at:]])
-                for column, value in zip(out, (doc, n, n - len(kept), len(low), hashlib.sha256(kept).hexdigest(), kept if with_text else None)):
+                kept, spans = without(text, pairs, length)
+                for column, value in zip(out, (doc, len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest())):
                     column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], names)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    schema = "doc_id BIGINT, n_bytes BIGINT, n_removed BIGINT, n_spans BIGINT, kept_sha256 STRING, kept BINARY"
+    schema = "doc_id BIGINT, n_bytes BIGINT, n_removed BIGINT, n_spans BIGINT, kept_sha256 STRING"
     return texts.join(by_document(marks).hint("shuffle_hash"), "doc_id", "left").mapInArrow(work, schema)
 
 
@@ -317,8 +323,8 @@ def plain_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(key).cast("bigint"), lowest).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept BINARY]) of every row.
+def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row; ``cleaned`` gives the texts themselves.
 
     Texts are judged as UTF-8 bytes. A byte goes when a string of ``length`` bytes that covers it also starts
     earlier: in a document with a smaller id, or earlier in the same one. Matches end at the end of a document;
@@ -328,6 +334,34 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
     """
     plain = plain_texts(docs, key, text)
     texts = packed(plain)
-    out = cut(texts, repeated_spans(plain, texts, length), length, with_text)
-    out = out.withColumn("doc_id", F.nullif("doc_id", F.lit(int(np.iinfo(np.int64).min))))
-    return out if with_text else out.drop("kept")
+    out = cut(texts, repeated_spans(plain, texts, length), length)
+    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(int(np.iinfo(np.int64).min))))
+
+
+def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` with the bytes that ``remove_repeats`` names cut from the text, all other columns as they were.
+
+    A cut can leave part of a character, since strings are bytes; such parts are dropped. n_chars, where there
+    is such a column, is counted anew. A null text comes back empty.
+    """
+    plain = plain_texts(docs, "doc_id", "text")
+    others = [c for c in docs.columns if c != "text"]
+    lowest = F.lit(int(np.iinfo(np.int64).min))
+    wide = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), lowest).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.struct(*[F.col(c) for c in others]).alias("rest"))
+    texts = packed(wide)
+    marks = by_document(repeated_spans(plain, texts, length))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        squeezed = zstandard.ZstdDecompressor()
+        for batch in batches:
+            left = [without(text, pairs, length)[0].decode("utf-8", "ignore") for _, text, pairs in unpacked(batch, squeezed)]
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("rest")), pa.array(left, pa.string())], ["rest", "text"])
+
+    kind = dict(wide.dtypes)["rest"]
+    fixed = texts.join(marks.hint("shuffle_hash"), "doc_id", "left").mapInArrow(work, f"rest {kind}, text STRING")
+    columns = {c: F.col("rest")[c] for c in others} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return fixed.select(*[columns[c].alias(c) for c in docs.columns])
