@@ -52,19 +52,23 @@ def gram_hashes(w: str, k: int) -> Column:
 
 def template_grams(spark: SparkSession, templates: list[tuple[str, str]], k: int) -> DataFrame:
     """(h, label, template, n_template, tpos, twords): one row per template position, as many as the templates have words."""
-    rows = spark.createDataFrame([(i, label, text) for i, (label, text) in enumerate(templates)], "template INT, label STRING, text STRING")
+    listed = F.array(*[F.struct(F.lit(i).alias("template"), F.lit(label).alias("label"), F.lit(text).alias("text")) for i, (label, text) in enumerate(templates)])
+    rows = spark.range(1).select(F.inline(listed))
     cut = rows.withColumn("w", words(F.col("text"))).withColumn("h", gram_hashes("w", k))
-    return cut.select("label", "template", "w", F.size("w").alias("n_template"), F.posexplode("h").alias("tpos", "h")).withColumn("twords", F.slice("w", F.col("tpos") + 1, k)).drop("w")
+    return cut.select("label", "template", "w", F.size("w").alias("n_template"), F.posexplode_outer("h").alias("tpos", "h")).withColumn("twords", F.slice("w", F.col("tpos") + 1, k)).drop("w")
 
 
 def bands(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, k: int = GRAM, near: int = NEAR_DIAGONALS) -> DataFrame:
     """(doc_id, label, template, first_word, end_word, coverage): merged diagonals with the share of the template they cover."""
     grams = template_grams(docs.sparkSession, templates, k)
     cut = docs.select("doc_id", words(F.col("text")).alias("w")).withColumn("h", gram_hashes("w", k))
+    # an outer explode, since for an inner one the optimizer tests that the array is not empty and, doing so, cuts the words anew for every gram;
+    # the words are compared inside a function of both sides, which leaves the hash as the only join key
+    same = F.exists(F.array("twords"), lambda t: t == F.slice("w", F.col("pos") + 1, k))
     votes = (
-        cut.select("doc_id", "w", F.posexplode("h").alias("pos", "h"))
+        cut.select("doc_id", "w", F.posexplode_outer("h").alias("pos", "h"))
         .join(F.broadcast(grams), "h")  # bounded by the words of the templates
-        .filter(F.slice("w", F.col("pos") + 1, k) == F.col("twords"))
+        .filter(same)
         .select("doc_id", "label", "template", "n_template", (F.col("pos") - F.col("tpos")).alias("diagonal"), "tpos")
     )
     key = ["doc_id", "label", "template", "n_template"]
