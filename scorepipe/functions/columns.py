@@ -42,8 +42,3 @@ def long_form(df: DataFrame, cols: list[str], keep: list[str] = (), cast: str =
     ids = [quoted(c) for c in keep]
     wide = df.select(*ids, *[quoted(c).cast(cast).alias(c) for c in cols])
     return wide.unpivot(ids, [quoted(c) for c in cols], "column", "value")
-
-
-def same(a: Column, b: object) -> Column:
-    """Null-safe equality against a column or a plain value."""
-    return a.eqNullSafe(b)

@@ -29,10 +29,10 @@ def hash_buckets(hashed: Column) -> list[Column]:
 
 
 def hash_int(hashed: Column) -> Column:
-    """First 32 bits of the hash as a non-negative integer."""
-    return F.conv(F.substring(hashed, 1, 8), 16, 10).cast("bigint")
+    """First 60 bits of the hash as a non-negative integer, so that a remainder by any count of rows is even."""
+    return F.conv(F.substring(hashed, 1, 15), 16, 10).cast("bigint")
 
 
 def unit(hashed: Column) -> Column:
     """Hash as a double in [0, 1)."""
-    return hash_int(hashed).cast("double") / F.lit(4294967296.0).cast("double")
+    return hash_int(hashed).cast("double") / F.lit(2.0**60).cast("double")

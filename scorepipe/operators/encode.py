@@ -31,12 +31,12 @@ def fit_levels(df: DataFrame, cols: list[str], as_int: bool = True) -> DataFrame
 def level_map(levels: DataFrame, cols: list[str] | None = None, max_levels: int = MAX_LEVELS) -> dict[str, list]:
     """The level table as a plain dict, columns in the given order and levels ascending.
 
-    The guard stops a key-like column from becoming an enormous schema.
+    The guard, of each column by itself, stops a key-like column from becoming an enormous schema.
     """
-    limit = max_levels + 1
-    rows = levels.orderBy("column", "level").limit(limit).collect()
-    if len(rows) == limit:
-        raise ValueError(f"more than {max_levels} levels; not a categorical column")
+    wide = levels.groupBy("column").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_levels).first()
+    if wide:
+        raise ValueError(f"{wide['column']} has {wide['n']} levels, more than {max_levels}; not a categorical column")
+    rows = levels.orderBy("column", "level").collect()
     found: dict[str, list] = {}
     for r in rows:
         found.setdefault(r["column"], []).append(r["level"])

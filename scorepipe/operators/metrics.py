@@ -20,8 +20,18 @@ def accuracy(df: DataFrame, label: str, pred: str, by: list[str] = ()) -> DataFr
     return df.groupBy(*_by(by)).agg(F.avg(hit).alias("accuracy"))
 
 
-def confusion(df: DataFrame, label: str, pred: str, by: list[str] = (), classes: list[int] = (0, 1)) -> DataFrame:
-    """(by..., label, pred, n) on the full class grid, empty cells 0. One aggregation pass."""
+def classes_of(df: DataFrame, label: str, pred: str) -> list:
+    """All values of the labels and predictions, at least 0 and 1, in order. NULLs are no class."""
+    pairs = df.select(F.explode(F.array(quoted(label), quoted(pred))).alias("c")).filter("c IS NOT NULL").distinct().collect()
+    return sorted({0, 1} | {r["c"] for r in pairs}) if all(isinstance(r["c"], (int, float)) for r in pairs) else sorted(r["c"] for r in pairs)
+
+
+def confusion(df: DataFrame, label: str, pred: str, by: list[str] = (), classes: list | None = None) -> DataFrame:
+    """(by..., label, pred, n) on the full class grid, empty cells 0. One aggregation pass.
+
+    Without given classes they are looked up, so that no row is left out of the total.
+    """
+    classes = classes_of(df, label, pred) if classes is None else classes
     grid = [(a, b) for a in classes for b in classes]
     sums = df.groupBy(*_by(by)).agg(*[
         F.coalesce(F.sum(((quoted(label) == a) & (quoted(pred) == b)).cast("bigint")), F.lit(0).cast("bigint")).alias(f"c{k}")
@@ -34,11 +44,13 @@ def confusion(df: DataFrame, label: str, pred: str, by: list[str] = (), classes:
     return sums.select(*_by(by), F.inline(F.array(*cells)))
 
 
-def class_report(df: DataFrame, label: str, pred: str, by: list[str] = (), classes: list[int] = (0, 1)) -> DataFrame:
+def class_report(df: DataFrame, label: str, pred: str, by: list[str] = (), classes: list | None = None) -> DataFrame:
     """(by..., class, precision, recall, f1, support), then accuracy, macro and weighted averages.
 
-    A zero denominator gives 0. Everything after the one aggregation works on a row per group.
+    A zero denominator gives 0. Everything after the one aggregation works on a row per group. Without
+    given classes they are looked up, so that accuracy and support count every row.
     """
+    classes = classes_of(df, label, pred) if classes is None else classes
     y, p = quoted(label), quoted(pred)
 
     def tally(cond):
@@ -191,8 +203,10 @@ def roc_curve(
 
 
 def predict_label(df: DataFrame, score: str = "score", threshold: float = 0.5, out: str = "pred") -> DataFrame:
-    """1 when the score is strictly above the threshold."""
-    return df.withColumn(out, F.when(quoted(score) > F.lit(threshold), 1).otherwise(0))
+    """1 when the score is strictly above the threshold; a row without a score (NULL or NaN) has no label."""
+    s = quoted(score)
+    known = s.isNotNull() & ~F.isnan(s.cast("double"))
+    return df.withColumn(out, F.when(known, F.when(s > F.lit(threshold), 1).otherwise(0)))
 
 
 # Published reading guides, as (metric, lower limit, label); the highest met limit applies.

@@ -9,18 +9,18 @@ from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorepipe.functions.columns import quoted
-from scorepipe.operators.encode import fit_scaler, scale
+from scorepipe.operators.encode import fit_scaler
 from scorepipe.operators.metrics import accuracy, label_auc, predict_label, rank_metrics
 from scorepipe.operators.profile import cv_summary
 from scorepipe.operators.sampling import fold_frames
 from scorepipe.session import shared_dir
-from scorepipe.sources.tables import materialise, sized
+from scorepipe.sources.tables import dealt, materialise
 
 # The tuned settings of the three balancing strategies.
 TUNED = {
@@ -67,15 +67,32 @@ def _assembled(features: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
 
 
+def _inputs(features: list[str], stats: dict[str, tuple[float, float]] | None) -> tuple[list, VectorAssembler]:
+    """Stages before the learner: the scaling when there is one, and the assembler."""
+    if not stats:
+        return [], _assembled(features)
+
+    def scaled(i, c):
+        mean, std = stats[c]
+        name = "`" + c.replace("`", "``") + "`"
+        return f"(CAST({name} AS DOUBLE) - {float(mean or 0.0)!r}D) / {float(std or 1.0)!r}D AS _scaled_{i}"
+
+    columns = ", ".join(scaled(i, c) for i, c in enumerate(features))
+    return [SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")], _assembled([f"_scaled_{i}" for i in range(len(features))])
+
+
 def fit_logistic(
     df: DataFrame, features: list[str], label: str, c: float = 1.0, max_iter: int = 1000,
-    tol: float = 1e-6, weight: str | None = None,
+    tol: float = 1e-6, weight: str | None = None, stats: dict[str, tuple[float, float]] | None = None,
 ) -> Fitted:
-    """L2 logistic regression with inverse strength C, intercept not penalised, features as given.
+    """L2 logistic regression with inverse strength C, intercept not penalised.
+
+    Features go in as given, or standardised by ``stats`` (mean, deviation); the scaling is a stage of the
+    model, so a saved one scores raw rows.
 
     MLlib averages the loss over rows, so the penalty that corresponds to C is 1 / (C * total weight).
     """
-    n, total = df.agg(F.count(F.lit(1)), F.sum(quoted(weight)) if weight else F.count(F.lit(1))).first()
+    total = df.agg(F.sum(quoted(weight)) if weight else F.count(F.lit(1))).first()[0]
     if not total:
         raise ValueError("no rows to fit")
     lr = LogisticRegression(
@@ -84,8 +101,9 @@ def fit_logistic(
     )
     if weight:
         lr = lr.setWeightCol(weight)
-    va = _assembled(features)
-    model = PipelineModel([va, lr.fit(va.transform(sized(df, n)))])
+    before, va = _inputs(features, stats)
+    rows = va.transform(reduce(lambda d, stage: stage.transform(d), before, dealt(df, [*features, label])))
+    model = PipelineModel([*before, va, lr.fit(rows)])
     return Fitted("logistic", model, features, label, {"C": c, "max_iter": max_iter, "solver": "lbfgs"})
 
 
@@ -98,12 +116,14 @@ def coefficients(fitted: Fitted) -> DataFrame:
     return SparkSession.active().createDataFrame(rows, "feature STRING, weight DOUBLE")
 
 
-def gbt_params(params: dict, rounds: int = 100, seed: int = 100) -> dict:
-    """Booster settings under their MLlib names.
+def gbt_params(params: dict, rounds: int = 100, seed: int = 100, rate: float = 0.5, total: float = 1.0) -> dict:
+    """Booster settings under their MLlib names, for data of ``total`` weight of which ``rate`` is positive.
 
-    `gamma` and `min_child_weight` are the nearest counterparts, not the same measure: MLlib prunes
-    by variance gain and counts rows.
+    `gamma` is a sum of loss gains, G^2 / 2H over the children less the parent. MLlib's threshold is a variance
+    gain a row, on targets four times the gradient; with H = p (1 - p) a row, gamma corresponds to
+    32 p (1 - p) gamma / n. `min_child_weight` is a sum of H, so mcw / (p (1 - p)) rows.
     """
+    curve = max(rate * (1 - rate), 1e-6)
     out = {"maxIter": rounds, "seed": seed, "lossType": "logistic"}
     if "max_depth" in params:
         out["maxDepth"] = int(params["max_depth"])
@@ -112,9 +132,9 @@ def gbt_params(params: dict, rounds: int = 100, seed: int = 100) -> dict:
     if "learning_rate" in params:
         out["stepSize"] = float(params["learning_rate"])
     if "gamma" in params:
-        out["minInfoGain"] = float(params["gamma"])
+        out["minInfoGain"] = 32 * curve * float(params["gamma"]) / max(total, 1.0)
     if "min_child_weight" in params:
-        out["minInstancesPerNode"] = max(1, int(params["min_child_weight"]))
+        out["minInstancesPerNode"] = max(1, round(float(params["min_child_weight"]) / curve))
     if "colsample_bytree" in params:
         out["featureSubsetStrategy"] = str(float(params["colsample_bytree"]))
     return out
@@ -128,13 +148,15 @@ def fit_gbt(
     The shared folder lets MLlib checkpoint its running errors, so lineage stays short over many rounds.
     """
     shared_dir(df.sparkSession)
-    settings = gbt_params(params, rounds, seed)
     pos_weight = float(params.get("scale_pos_weight", 1))
+    ones, others = (int(x or 0) for x in df.agg(F.sum((quoted(label) == 1).cast("int")), F.sum((quoted(label) != 1).cast("int"))).first())
+    total = ones * pos_weight + others
+    settings = gbt_params(params, rounds, seed, ones * pos_weight / max(total, 1.0), total)
     weight = F.when(quoted(label) == 1, pos_weight).otherwise(1.0)
     rows = df.select(*[quoted(f) for f in features], quoted(label), weight.cast("double").alias("_weight"))
     gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="_weight", **settings)
     va = _assembled(features)
-    model = PipelineModel([va, gbt.fit(va.transform(sized(rows, rows.count())))])
+    model = PipelineModel([va, gbt.fit(va.transform(dealt(rows, [*features, label])))])
     return Fitted("gbt", model, features, label, {**params, "rounds": rounds})
 
 
@@ -158,9 +180,9 @@ Fit = Callable[[DataFrame, list[str], str], Fitted]
 
 
 def scaled_logistic(train: DataFrame, features: list[str], label: str) -> tuple[Fitted, Callable[[DataFrame], DataFrame]]:
-    """Logistic regression on standardised features and the transform its inputs need."""
+    """Logistic regression on standardised features. The model scales its inputs, so their transform is none."""
     stats = {r["column"]: (r["mean"], r["std_pop"]) for r in fit_scaler(train, features).collect()}
-    return fit_logistic(scale(train, stats), features, label), lambda df: scale(df, stats)
+    return fit_logistic(train, features, label, stats=stats), lambda df: df
 
 
 def cross_validate(

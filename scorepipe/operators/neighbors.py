@@ -125,7 +125,7 @@ def kept_neighbors(rows: DataFrame, k: int, block_rows: int = 4096) -> DataFrame
         dims, cuts = [0], [0.0]
     else:
         # about SAMPLE_ROWS rows by hash; they steer the cut only, the result is exact for any planes
-        share = int(min(1.0, SAMPLE_ROWS / n) * 2**32)
+        share = int(min(1.0, SAMPLE_ROWS / n) * 2**60)
         picked = kept.filter(hash_int(hash_key("planes", F.col("id"))) < share).select("vec").toPandas()
         dims, cuts = _median_tree(_matrix(picked["vec"]), depth)
     placed = _with_block(kept, dims, cuts, depth)

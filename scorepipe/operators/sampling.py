@@ -7,6 +7,8 @@ and the rows themselves are never shuffled or sorted.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,8 +36,15 @@ def union_bags(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
+def require_keys(df: DataFrame, key: str) -> None:
+    """Raise when a row has no key: hash order could not place it, and it would fall out of some part silently."""
+    if df.filter(quoted(key).isNull()).limit(1).count():
+        raise ValueError(f"rows without {key}; give them keys first")
+
+
 def stratified_split(df: DataFrame, label: str, key: str, test_frac: float = 0.3, seed: int = 100, out: str = "split") -> DataFrame:
-    """Add `split`: of each class exactly round(frac * n) rows, first in hash order, are 'test'."""
+    """Add `split`: of each class exactly round(frac * n) rows, first in hash order, are 'test'. Keys must not be NULL."""
+    require_keys(df, key)
     hashed = hash_key(seed, quoted(key))
     order = [hashed, quoted(key)]
     share = F.lit(float(test_frac))
@@ -57,7 +66,8 @@ def _fold_column(order: list[Column], cuts: list[tuple | None]) -> Column:
 
 
 def kfold(df: DataFrame, key: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
-    """Shuffled folds 0..k-1 in hash order; the first n mod k folds hold one row more."""
+    """Shuffled folds 0..k-1 in hash order; the first n mod k folds hold one row more. Keys must not be NULL."""
+    require_keys(df, key)
     hashed = hash_key(seed, quoted(key))
     order = [hashed, quoted(key)]
 
@@ -158,6 +168,9 @@ def smote(
         raise ValueError(f"{m} minority rows, but {k} neighbours need at least {k + 1}")
     total = (big if target is None else target) - m
     kinds = {f.name: f.dataType for f in df.schema.fields}
+    bad = [quoted(c).isNull() | F.isnan(quoted(c).cast("double")) for c in features]
+    if df.filter((quoted(label) == F.lit(small)) & reduce(lambda a, b: a | b, bad)).limit(1).count():
+        raise ValueError("minority rows with a NULL or NaN feature have no neighbours; fill or drop them first")
     minority = df.filter(quoted(label) == F.lit(small)).select(
         quoted(key).alias("id"), F.array(*[quoted(c).cast("double") for c in features]).alias("vec")
     )

@@ -86,7 +86,9 @@ def train_evaluate(
     cv = None
     if folds:
         if balance_before_split and spec.balance:
-            numbered = rows.withColumn("_row", F.concat_ws(":", F.lit("row"), quoted(key), quoted("draw")))
+            # a drawn row is named by its draw, any other by its key: the two never meet
+            own = F.concat(F.lit("key:"), quoted(key).cast("string"))
+            numbered = rows.withColumn("_row", F.coalesce(F.concat(F.lit("draw:"), quoted("draw").cast("string")), own))
             cv = cross_validate(kfold(numbered, "_row", folds), fit, features, label, "_row", "label_auc", folds)
         else:
             cv = cross_validate(

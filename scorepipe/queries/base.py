@@ -114,7 +114,7 @@ def rnd(expr: str, digits: int) -> str:
 
 
 def hash_int_sql(text: str) -> str:
-    return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
+    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
 
 
 def _months(expr: str, names: list[str]) -> str:

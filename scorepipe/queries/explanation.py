@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from scorepipe.functions.columns import rounded
 from scorepipe.operators import explain, models
 from scorepipe.queries.base import CARD, CARD_INTERCEPT, FEATURES, KEY, LABEL, dbl, gold, nice, query, rnd, with_ctes
-from scorepipe.queries.modelling import ROUNDS, SMALL, parts
+from scorepipe.queries.modelling import NORMAL, ROUNDS, parts
 
 _COLS = list(CARD)
 _ROW = 11
@@ -82,7 +82,7 @@ def i7(spark, d):
 
 def _boosted(spark, d):
     train, test = parts(spark, d)
-    return models.fit_gbt(train, FEATURES, LABEL, SMALL, ROUNDS), test
+    return models.fit_gbt(train, FEATURES, LABEL, NORMAL, ROUNDS), test
 
 
 @query("i1_tree_shap")

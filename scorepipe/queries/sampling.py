@@ -87,7 +87,7 @@ _DIST = " + ".join(f"CAST(p.{c} - q.{c} AS DOUBLE) * CAST(p.{c} - q.{c} AS DOUBL
         + _DIST + ", q.id) AS rk FROM mi p JOIN mi q ON p.id <> q.id) t WHERE rk <= 5",
         dr="SELECT range AS draw, " + hash_int_sql("'100:base:' || CAST(range AS VARCHAR)")
         + " % (SELECT count(*) FROM mi) AS idx, " + hash_int_sql("'100:near:' || CAST(range AS VARCHAR)") + " % 5 + 1 AS rk, "
-        + hash_int_sql("'100:gap:' || CAST(range AS VARCHAR)") + " / CAST(4294967296 AS DOUBLE) AS u "
+        + hash_int_sql("'100:gap:' || CAST(range AS VARCHAR)") + " / CAST(1152921504606846976 AS DOUBLE) AS u "
         "FROM range((SELECT count(*) FILTER (de_pay = 0) - count(*) FILTER (de_pay = 1) FROM gold))",
     ),
 )

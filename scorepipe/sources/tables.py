@@ -127,13 +127,10 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-ROWS_PER_TASK = 100_000
-
-
-def sized(df: DataFrame, rows: int) -> DataFrame:
-    """Fewer, fuller partitions for a small frame that an iterative fit will pass over many times.
-
-    Only ever merges partitions, without a shuffle; a frame with more rows than
-    partitions times ROWS_PER_TASK keeps its partitions.
+def dealt(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows dealt by the hash of their values and sorted, so that a fit which samples within partitions sees
+    the same partitions however the rows arrived. The number of partitions is the session's, whatever the size.
     """
-    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+    key = F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in cols])
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, key).sortWithinPartitions(key)

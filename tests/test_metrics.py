@@ -135,8 +135,8 @@ def test_label_auc_is_auc_of_labels(spark):
 
 
 def test_threshold_is_strict(spark):
-    df = spark.createDataFrame([(0.5,), (0.51,), (None,)], "score DOUBLE")
-    assert [r["pred"] for r in metrics.predict_label(df).collect()] == [0, 1, 0]
+    df = spark.createDataFrame([(0.5,), (0.51,), (None,), (float("nan"),)], "score DOUBLE")
+    assert [r["pred"] for r in metrics.predict_label(df).collect()] == [0, 1, None, None]
 
 
 def test_bands_and_comparison(spark):

@@ -70,9 +70,33 @@ def test_cross_validation_scales_inside_folds(parts):
 
 
 def test_parameter_map():
-    got = models.gbt_params(models.TUNED["Normal Sampling"], 7)
-    assert (got["maxDepth"], got["stepSize"], got["minInstancesPerNode"], got["maxIter"]) == (4, 0.1, 5, 7)
-    assert got["featureSubsetStrategy"] == "0.4" and got["minInfoGain"] == 0.2
+    got = models.gbt_params(models.TUNED["Normal Sampling"], 7, rate=0.5, total=1000)
+    assert (got["maxDepth"], got["stepSize"], got["minInstancesPerNode"], got["maxIter"]) == (4, 0.1, 20, 7)
+    assert got["featureSubsetStrategy"] == "0.4" and got["minInfoGain"] == pytest.approx(32 * 0.25 * 0.2 / 1000)
+
+
+def test_tuned_trees_grow(parts):
+    """At the tuned settings most trees split and many features are used."""
+    model = models.fit_gbt(parts[0], FEATURES, LABEL, models.TUNED["Normal Sampling"], 20)
+    trees = model.core.trees
+    assert sum(t.numNodes > 1 for t in trees) > 0.8 * len(trees)
+    assert (model.core.featureImportances.toArray() > 0).sum() > len(FEATURES) / 2
+
+
+def test_saved_logistic_scores_raw_rows(spark, parts, tmp_path):
+    from scorepipe.plans.tracking import RunStore
+
+    train, test = parts
+    model, _ = models.scaled_logistic(train, FEATURES, LABEL)
+    store = RunStore(spark, str(tmp_path / "store"))
+    assert store.table("models").count() == 0
+    model_id = store.log_model(store.start_run("e", "lr"), model, "lr")
+    a, b = (models.score(m, test, KEY).toPandas().set_index("id")["score"].sort_index() for m in (model, store.load_model(model_id)))
+    assert np.allclose(a, b) and b.std() > 0.01
+    name = store.score_table(model_id, test, KEY, "scored_by_test")
+    assert spark.read.table(name).count() == test.count()
+    with pytest.raises(KeyError):
+        store.load_model("m-none")
 
 
 def test_random_draws_are_distinct_and_repeatable():
