@@ -2,9 +2,10 @@
 
 Rolling hashes of k words of every text are joined with the same hashes of the templates. A match of text word
 i with template word j votes for the diagonal i - j; a copy of a notice is a diagonal with many votes, and
-inserted or missing words move it to a neighbouring one. Votes are kept only where the k words themselves are
-equal, summed by diagonal, neighbouring diagonals are merged into one band, and a band counts when the template
-words it covers are enough of the template.
+inserted or missing words move it to a neighbouring one. A vote must agree in two hashes of other kinds, 96 bits
+together; the words themselves stay behind, since a row of every gram with its text's words would copy each text
+as often as it has words. Votes are summed by diagonal, neighbouring diagonals are merged into one band, and a
+band is verified by the template words it covers: they must be enough of the template.
 """
 
 from __future__ import annotations
@@ -45,30 +46,33 @@ def words(text: Column) -> Column:
 
 
 def gram_hashes(w: str, k: int) -> Column:
-    """Hash of the k words that start at each word; empty for shorter texts."""
+    """Two hashes (h, g) of the k words that start at each word; empty for shorter texts."""
     at = F.when(F.size(w) >= k, F.sequence(F.lit(0), F.size(w) - k)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.xxhash64(*[F.get(F.col(w), i + j) for j in range(k)]))
+
+    def both(i: Column) -> Column:
+        gram = [F.get(F.col(w), i + j) for j in range(k)]
+        return F.struct(F.xxhash64(*gram).alias("h"), F.hash(*gram).alias("g"))
+
+    return F.transform(at, both)
 
 
 def template_grams(spark: SparkSession, templates: list[tuple[str, str]], k: int) -> DataFrame:
-    """(h, label, template, n_template, tpos, twords): one row per template position, as many as the templates have words."""
+    """(h, g, label, template, n_template, tpos): one row per template position, as many as the templates have words."""
     listed = F.array(*[F.struct(F.lit(i).alias("template"), F.lit(label).alias("label"), F.lit(text).alias("text")) for i, (label, text) in enumerate(templates)])
     rows = spark.range(1).select(F.inline(listed))
     cut = rows.withColumn("w", words(F.col("text"))).withColumn("h", gram_hashes("w", k))
-    return cut.select("label", "template", "w", F.size("w").alias("n_template"), F.posexplode_outer("h").alias("tpos", "h")).withColumn("twords", F.slice("w", F.col("tpos") + 1, k)).drop("w")
+    return cut.select("label", "template", F.size("w").alias("n_template"), F.posexplode_outer("h").alias("tpos", "gram")).select("label", "template", "n_template", "tpos", "gram.h", "gram.g")
 
 
 def bands(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, k: int = GRAM, near: int = NEAR_DIAGONALS) -> DataFrame:
     """(doc_id, label, template, first_word, end_word, coverage): merged diagonals with the share of the template they cover."""
     grams = template_grams(docs.sparkSession, templates, k)
     cut = docs.select("doc_id", words(F.col("text")).alias("w")).withColumn("h", gram_hashes("w", k))
-    # an outer explode, since for an inner one the optimizer tests that the array is not empty and, doing so, cuts the words anew for every gram;
-    # the words are compared inside a function of both sides, which leaves the hash as the only join key
-    same = F.exists(F.array("twords"), lambda t: t == F.slice("w", F.col("pos") + 1, k))
+    # an outer explode, since for an inner one the optimizer tests that the array is not empty and, doing so, cuts the words anew for every gram
     votes = (
-        cut.select("doc_id", "w", F.posexplode_outer("h").alias("pos", "h"))
-        .join(F.broadcast(grams), "h")  # bounded by the words of the templates
-        .filter(same)
+        cut.select("doc_id", F.posexplode_outer("h").alias("pos", "gram"))
+        .select("doc_id", "pos", "gram.h", "gram.g")
+        .join(F.broadcast(grams), ["h", "g"])  # bounded by the words of the templates
         .select("doc_id", "label", "template", "n_template", (F.col("pos") - F.col("tpos")).alias("diagonal"), "tpos")
     )
     key = ["doc_id", "label", "template", "n_template"]
