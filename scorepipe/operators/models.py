@@ -187,7 +187,7 @@ def scaled_logistic(train: DataFrame, features: list[str], label: str) -> tuple[
 
 def cross_validate(
     df: DataFrame, fit: Callable, features: list[str], label: str, key: str, metric: str, k: int = 5,
-    balance: Callable[[DataFrame], DataFrame] | None = None, fold: str = "fold",
+    balance: Callable[[DataFrame], DataFrame] | None = None, fold: str = "fold", parallelism: int = 5,
 ) -> DataFrame:
     """(fold, score) with one fit per fold; the frame must carry its fold number.
 
@@ -195,14 +195,16 @@ def cross_validate(
     sees only the fold's training rows, so scaling and `balance` never touch validation rows. To
     balance before folding, fold an already balanced frame. No model given to this function changes.
     """
-    scored = []
-    for i in range(k):
+    def one(i):
         train, valid = fold_frames(df, i, fold)
         train = materialise(balance(train) if balance else train)
         got = fit(train, features, label)
         model, prepare = got if isinstance(got, tuple) else (got, lambda d: d)
-        scored.append(score(model, prepare(valid), key, [fold]))
         train.unpersist()
+        return score(model, prepare(valid), key, [fold])
+
+    with ThreadPoolExecutor(max(1, min(k, parallelism))) as pool:  # small jobs of several fits fill the cluster
+        scored = list(pool.map(one, range(k)))
     rows = reduce(lambda a, b: a.unionByName(b), scored)
     if metric == "accuracy":
         out = accuracy(rows, "label", "pred", [fold]).withColumnRenamed("accuracy", "score")

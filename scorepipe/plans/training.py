@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -107,7 +108,8 @@ def strategy_sweep(
     folds: int = 0,
 ) -> tuple[list[Outcome], DataFrame]:
     """Outcomes per strategy, and one frame (strategy, split, accuracy, auc) over all of them."""
-    outcomes = [train_evaluate(s, train, test, features, label, key, rounds, folds) for s in specs]
+    with ThreadPoolExecutor(max(1, len(specs))) as pool:
+        outcomes = list(pool.map(lambda s: train_evaluate(s, train, test, features, label, key, rounds, folds), specs))
     table = reduce(
         lambda a, b: a.unionByName(b),
         [o.metrics.select(F.lit(o.name).alias("strategy"), "split", "accuracy", "auc") for o in outcomes],
