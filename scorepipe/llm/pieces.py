@@ -26,7 +26,7 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-KNOWN_STRETCHES = 1 << 16
+KNOWN_STRETCHES = 1 << 18
 """Distinct stretches that a task remembers; beyond, it forgets all and goes on."""
 CHUNK = 1 << 19
 BATCH = 1 << 10
