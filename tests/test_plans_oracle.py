@@ -20,7 +20,11 @@ def con():
     c.close()
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+#: Many fits at the published settings; the driver compares them with SQL, here their parts have tests of their own.
+MANY_FITS = {"f7_strategy_sweep", "g7_cv_boosted", "g8_random_search", "g10_train_evaluate"}
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - MANY_FITS))
 def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, name, SMALL) == ""
 
@@ -28,9 +32,7 @@ def test_query_equals_sql(spark, con, name):
 def test_every_other_query_is_a_model_query():
     rest = set(QUERIES) - set(ORACLES)
     assert rest == {
-        "f7_strategy_sweep", "g2_logistic", "g3_boosted_trees", "g5_score", "g6_cv_logistic", "g7_cv_boosted",
-        "g8_random_search", "g10_train_evaluate", "i1_tree_shap", "i2_base_value", "i3_explain_tree_row",
-        "i6_gain_importance", "i7_gain_against_shap",
+        "g2_logistic", "i2_base_value", "i3_explain_tree_row", "i6_gain_importance", "i7_gain_against_shap",
     }
 
 
