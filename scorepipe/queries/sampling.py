@@ -138,7 +138,7 @@ def f4_orders(spark, d):
         "SELECT r.id, r.de_pay, CAST(min(s.fold) AS INT) AS fold FROM r JOIN s ON s.de_pay = r.de_pay AND r.rn <= s.upto GROUP BY r.id, r.de_pay",
         c="SELECT de_pay, count(*) AS n, min(id) AS first FROM silver GROUP BY de_pay",
         st="SELECT de_pay, n, coalesce(sum(n) OVER (ORDER BY first ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM c",
-        places="SELECT st.de_pay, (start + p.range) % 5 AS fold FROM st JOIN range(1000000) p ON p.range < st.n",
+        places="SELECT st.de_pay, (start + p.range) % 5 AS fold FROM st JOIN range((SELECT max(n) FROM st)) p ON p.range < st.n",
         held="SELECT de_pay, fold, count(*) AS n FROM places GROUP BY de_pay, fold",
         s="SELECT de_pay, fold, sum(n) OVER (PARTITION BY de_pay ORDER BY fold) AS upto FROM held",
         r="SELECT id, de_pay, row_number() OVER (PARTITION BY de_pay ORDER BY id) AS rn FROM silver",
