@@ -119,12 +119,12 @@ def forest(left: np.ndarray, right: np.ndarray | None, most_bits: int) -> tuple[
     while True:
         low = label.copy()
         for i in range(0, len(left), 512):
-            block = left[i : i + 512]
-            near = np.bitwise_count(block[:, None] ^ nodes[split:][None, :]) <= most_bits
+            rows = slice(i, min(i + 512, len(left)))
+            near = np.bitwise_count(left[rows, None] ^ nodes[split:][None, :]) <= most_bits
             across = np.where(near, label[split:][None, :], len(nodes)).min(axis=1, initial=len(nodes))
-            low[i : i + 512] = np.minimum(low[i : i + 512], across)
+            low[rows] = np.minimum(low[rows], across)
             if right is not None:
-                back = np.where(near, label[i : i + 512, None], len(nodes)).min(axis=0, initial=len(nodes))
+                back = np.where(near, label[rows, None], len(nodes)).min(axis=0, initial=len(nodes))
                 low[split:] = np.minimum(low[split:], back)
         # a label is the index of a node of the same component, so following it twice stays inside
         np.minimum.at(low, label, low.copy())
