@@ -85,3 +85,16 @@ def test_short_items_must_stand_together(spark):
     texts[3] += " paris on the seine and more"
     texts[4] += " paris lies on the river seine"
     assert set(hits(spark, texts, ["Paris, on the Seine."])) == {(3, 0)}
+
+
+def test_frequency_never_removes_an_item(spark):
+    rng = np.random.default_rng(7)
+    words = vocabulary(rng)
+    item = " ".join(words[:20]) + ". " + " ".join(words[20:24])
+    short = [" ".join(rng.choice(words, 30)) + (" " + item if i % 3 == 0 else "") for i in range(300)]
+    tiny = [" ".join(rng.choice(words, 20)) + (" " + item if i in (4, 9) else "") for i in range(12)]
+    for texts in (short, tiny):
+        got = hits(spark, texts, [item])
+        assert set(got) == {(i, 0) for i, t in enumerate(texts) if item in t}
+        assert min(r["cosine"] for r in got.values()) > 0.4  # the latent search sees them too
+    assert (decontaminate.weights(np.array([0, 1, 50, 100]), 100) > 0).all()
