@@ -34,6 +34,8 @@ CUTOFF = 40.0
 RATES = [("word_length", 0.5), ("symbols", 0.15), ("dup_lines", 0.15), ("repeats", 0.15)]
 """Transformed statistics with the least standard deviation that counts: most texts have none of the last three at all."""
 GROUP = ["lang", "source"]
+FITTED = ["level", *GROUP]
+"""Names of an estimate: see ``levels``; what a level does not tell apart is empty."""
 
 
 def counts(docs: DataFrame) -> DataFrame:
@@ -136,43 +138,67 @@ def grid(value: Column) -> Column:
     return F.floor(16 * F.log2(F.greatest(value, F.lit(2.0**-20)))).cast("int")
 
 
+def levels(sound: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
+    """(lang, source, size, level, wide): whose estimate judges a group's rows, its own (0), its language's (1) or that of all rows (2).
+
+    It is the first that has ``least_rows`` rows, null where even the table has fewer; ``wide`` says that some
+    group of the language needs more than its own.
+    """
+    sizes = sound.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("size"))
+    by_lang = sizes.groupBy("lang").agg(F.sum("size").alias("n"), (F.min("size") < least_rows).alias("wide"))
+    level = F.when(F.col("size") >= least_rows, 0).when(F.col("n") >= least_rows, 1).when(F.lit(sound.count() >= least_rows), 2)
+    return sizes.join(by_lang, "lang").select(*GROUP, "size", level.alias("level"), (F.col("wide") & (F.col("n") >= least_rows)).alias("wide"))
+
+
+def at_levels(sound: DataFrame, placed: DataFrame) -> DataFrame:
+    """The statistics of each row once for every estimate that is needed and that it belongs to."""
+    top = bool(placed.filter("level = 2").head(1))
+    at = [(F.col("level") == 0, "lang", "source"), (F.col("wide"), "lang", None), (F.lit(top), None, None)]
+    cells = [F.when(on, F.struct(F.lit(i).alias("level"), *[(F.col(c) if c else F.lit("")).alias(g) for g, c in zip(GROUP, key)])) for i, (on, *key) in enumerate(at)]
+    xs = [f"x{i}" for i in range(len(RATES))]
+    return sound.join(placed, GROUP).select(F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull())).alias("at"), *xs).select("at.*", *xs)
+
+
 def middle_start(rows: DataFrame) -> DataFrame:
     """A start from the medians and the median distances to them, each statistic on its own."""
     p = range(len(RATES))
-    long = rows.select(*GROUP, F.posexplode(F.array(*[f"x{i}" for i in p])).alias("i", "x"))
-    middle = quantile_bucket(long.withColumn("bucket", grid(F.col("x") / SCALE + 1)), [*GROUP, "i"], 0.5)
-    middle = middle.select(*GROUP, "i", (F.pow(F.lit(2.0), (F.col("cut") + 0.5) / 16) - 1).alias("m"))
-    away = long.join(middle, [*GROUP, "i"]).withColumn("bucket", grid(F.abs(F.col("x") / SCALE - F.col("m"))))
-    spread = quantile_bucket(away, [*GROUP, "i"], 0.5).select(*GROUP, "i", (1.4826 * F.pow(F.lit(2.0), (F.col("cut") + 1) / 16)).alias("d"))
-    both = middle.join(spread, [*GROUP, "i"]).groupBy(*GROUP).agg(*[F.max(F.when(F.col("i") == i, F.col(c))).alias(f"{c}{i}") for i in p for c in ("m", "d")])
+    long = rows.select(*FITTED, F.posexplode(F.array(*[f"x{i}" for i in p])).alias("i", "x"))
+    middle = quantile_bucket(long.withColumn("bucket", grid(F.col("x") / SCALE + 1)), [*FITTED, "i"], 0.5)
+    middle = middle.select(*FITTED, "i", (F.pow(F.lit(2.0), (F.col("cut") + 0.5) / 16) - 1).alias("m"))
+    away = long.join(middle, [*FITTED, "i"]).withColumn("bucket", grid(F.abs(F.col("x") / SCALE - F.col("m"))))
+    spread = quantile_bucket(away, [*FITTED, "i"], 0.5).select(*FITTED, "i", (1.4826 * F.pow(F.lit(2.0), (F.col("cut") + 1) / 16)).alias("d"))
+    both = middle.join(spread, [*FITTED, "i"]).groupBy(*FITTED).agg(*[F.max(F.when(F.col("i") == i, F.col(c))).alias(f"{c}{i}") for i in p for c in ("m", "d")])
     cells = [(F.pow(F.col(f"d{i}"), 2) + RATES[i][1] ** 2 if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i in p for j in range(i + 1)]
-    return factored(both.select(*GROUP, F.lit(1).alias("start"), F.lit(0).cast("bigint").alias("n"), *[f"m{i}" for i in p], *cells), [*GROUP, "start"])
+    return factored(both.select(*FITTED, F.lit(1).alias("start"), F.lit(0).cast("bigint").alias("n"), *[f"m{i}" for i in p], *cells), [*FITTED, "start"])
 
 
 def covariances(rows: DataFrame, nearest: float = NEAREST, steps: int = STEPS) -> DataFrame:
-    """Per language and source the estimate with the smallest determinant of two starts: all rows, and the medians."""
-    keys = [*GROUP, "start"]
+    """Per group the estimate with the smallest determinant of two starts: all rows, and the medians."""
+    keys = [*FITTED, "start"]
     now = common.settled(moments(rows.withColumn("start", F.lit(0)), keys).unionByName(middle_start(rows)))
     for _ in range(steps):
-        placed = rows.join(now, GROUP).select(*keys, *[f"x{i}" for i in range(len(RATES))], grid(distance()).alias("bucket"))
+        placed = rows.join(now, FITTED).select(*keys, *[f"x{i}" for i in range(len(RATES))], grid(distance()).alias("bucket"))
         cut = quantile_bucket(placed, keys, nearest)
         now = common.settled(moments(placed.join(cut, keys).filter("bucket <= cut"), keys))
-    best = Window.partitionBy(*GROUP).orderBy("log_det", "start")
+    best = Window.partitionBy(*FITTED).orderBy("log_det", "start")
     return now.withColumn("place", F.row_number().over(best)).filter("place = 1").drop("place", "start", "n")
 
 
 def quality_rules(docs: DataFrame, cutoff: float = CUTOFF, nearest: float = NEAREST, least_rows: int = LEAST_ROWS) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance) of every row.
 
-    Rows that fail the base rules take no part in the estimates and are not kept. In a language and source with
-    fewer than ``least_rows`` others nothing more is rejected (distance is null); a null language or source counts
-    as an empty one. Null texts have no words. Repeated rows and null ids give a row each; extra columns are
+    Rows that fail the base rules take no part in the estimates and are not kept. A language and source with fewer
+    than ``least_rows`` others is judged by the estimate of its language, a language with fewer by that of all rows;
+    only where the whole table has fewer is nothing more rejected (distance is null). A null language or source
+    counts as an empty one. Null texts have no words. Repeated rows and null ids give a row each; extra columns are
     ignored; an empty table gives no rows.
     """
     rows = common.settled(rates(counts(docs)))
     sound = rows.filter("NOT base_failed")
-    enough = sound.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") >= least_rows).drop("size")
-    fitted = covariances(sound.join(enough, GROUP, "left_semi"), nearest)
-    judged = rows.join(fitted, GROUP, "left").withColumn("distance", F.when(~F.col("base_failed"), distance()))
+    placed = common.settled(levels(sound, least_rows))
+    fitted = covariances(common.settled(at_levels(sound, placed)), nearest)
+    judged = rows.join(placed.drop("size", "wide"), GROUP, "left")
+    judged = judged.withColumn("lang", F.when(F.col("level") < 2, F.col("lang")).otherwise("")).withColumn("source", F.when(F.col("level") == 0, F.col("source")).otherwise(""))
+    judged = judged.join(fitted, FITTED, "left").withColumn("distance", F.when(~F.col("base_failed"), distance()))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance")

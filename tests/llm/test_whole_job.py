@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 
-from scorepipe.llm import decontaminate
+from scorepipe.llm import decontaminate, outliers
 
 DOCS = "doc_id BIGINT, text STRING, lang STRING, source STRING"
 
@@ -98,3 +98,19 @@ def test_frequency_never_removes_an_item(spark):
         assert set(got) == {(i, 0) for i, t in enumerate(texts) if item in t}
         assert min(r["cosine"] for r in got.values()) > 0.4  # the latent search sees them too
     assert (decontaminate.weights(np.array([0, 1, 50, 100]), 100) > 0).all()
+
+
+# 6
+
+
+def test_small_groups_are_judged_one_level_up(spark):
+    rng = np.random.default_rng(8)
+    clean = [" ".join("".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(60)) for _ in range(120)]
+    junk = " ".join(f"{w}###$$" for w in clean[0].split())
+    rows = [(i, t, "en", "big" if i < 60 else f"s{i % 20}") for i, t in enumerate(clean)]
+    rows += [(200, junk, "en", "s3"), (201, junk, "en", "alone"), (202, junk, "xx", "alone"), (203, clean[5], "xx", "alone"), (204, junk, None, None)]
+    got = {r["doc_id"]: r for r in outliers.quality_rules(spark.createDataFrame(rows, DOCS)).collect()}
+    assert len(got) == 125 and all(r["distance"] is not None for r in got.values())
+    assert {i for i, r in got.items() if not r["kept"]} == {200, 201, 202, 204}
+    only = {r["doc_id"]: r for r in outliers.quality_rules(spark.createDataFrame(rows[:60], DOCS)).collect()}
+    assert all(abs(only[i]["distance"] - got[i]["distance"]) < 1e-9 for i in range(60))  # large groups are judged as before
