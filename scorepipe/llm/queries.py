@@ -5,18 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorepipe.llm import archive, common, decontaminate, licenses, outliers, pieces, quality, render, reshard, simhash, suffix
+from scorepipe.llm import archive, audit, common, decontaminate, licenses, outliers, pieces, quality, render, reshard, simhash, suffix
 from scorepipe.sources.tables import read_parquet
 
 QUERIES = {}
 ORACLES = {}
 
 
-def query(f):
+def query(f, sql=None):
     QUERIES[f.__name__] = f
+    if sql:
+        ORACLES[f.__name__] = sql
     return f
 
 
+def query_with(sql):
+    return lambda f: query(f, sql)
+
+
 @query
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(common.documents(spark, sf_dir), read_parquet(spark, sf_dir, "labels"))
@@ -67,3 +73,8 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(common.documents(spark, sf_dir), read_parquet(spark, sf_dir, "benchmark"))
+
+
+@query_with(audit.AUDIT_SQL)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(common.documents(spark, sf_dir), read_parquet(spark, sf_dir, "labels"))
