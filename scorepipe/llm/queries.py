@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorepipe.llm import archive, audit, collocations, common, decontaminate, licenses, outliers, pieces, quality, render, reshard, simhash, suffix
+from scorepipe.llm import archive, audit, collocations, common, decontaminate, licenses, outliers, pieces, polytope, quality, render, reshard, simhash, suffix
 from scorepipe.sources.tables import read_parquet
 
 QUERIES = {}
@@ -83,3 +83,8 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query_with(collocations.COLLOCATIONS_SQL)
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(common.documents(spark, sf_dir))
+
+
+@query
+def op11_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return polytope.search(read_parquet(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
