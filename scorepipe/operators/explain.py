@@ -6,39 +6,22 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scorepipe.functions.columns import quoted
 from scorepipe.operators.models import Fitted
-from scorepipe.session import work_path
 
 MAX_LEAF_CELLS = 4_000_000
 """Leaf-table cells per broadcast, about 100 MB; a larger ensemble is applied in several passes."""
 
 
-def tree_nodes(fitted: Fitted, path: str | None = None) -> DataFrame:
-    """Node table of a saved boosted ensemble.
+def tree_nodes(fitted: Fitted) -> DataFrame:
+    """Node table of a boosted ensemble.
 
     (tree, node, tree_weight, value, cover, gain, left, right, feature, threshold); left = -1 marks a leaf.
     """
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.active()
-    path = path or work_path(spark, "model")
-    fitted.core.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data")
-    weights = spark.createDataFrame(
-        [(i, float(w)) for i, w in enumerate(fitted.core.treeWeights)], "treeID INT, tree_weight DOUBLE"
-    )
-    d = F.col("nodeData")
-    return nodes.join(F.broadcast(weights), "treeID").select(
-        F.col("treeID").alias("tree"), d["id"].alias("node"), "tree_weight", d["prediction"].alias("value"),
-        F.get(d["impurityStats"], F.lit(0)).alias("cover"), d["gain"].alias("gain"),
-        d["leftChild"].alias("left"), d["rightChild"].alias("right"),
-        d["split"]["featureIndex"].alias("feature"),
-        F.get(d["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
-    )
+    return fitted.core.node_table(SparkSession.active())
 
 
 def leaf_paths(nodes: DataFrame) -> list[dict]:
@@ -53,7 +36,7 @@ def leaf_paths(nodes: DataFrame) -> list[dict]:
         (tree, node), box = todo.pop()
         r = rows[(tree, node)]
         if r["left"] < 0:
-            # log-odds of MLlib's boosted classifier are twice the weighted sum of its trees
+            # log-odds are twice the weighted sum of the trees
             leaves.append({"tree": tree, "node": node, "value": 2.0 * r["tree_weight"] * r["value"], "box": box})
             continue
         for child, is_left in ((r["left"], True), (r["right"], False)):
@@ -107,14 +90,14 @@ def leaf_attributions(x: np.ndarray, value, feature, lo, hi, share) -> np.ndarra
     return out
 
 
-def tree_shap(fitted: Fitted, df: DataFrame, key: str, keep: list[str] = (), path: str | None = None) -> DataFrame:
+def tree_shap(fitted: Fitted, df: DataFrame, key: str, keep: list[str] = ()) -> DataFrame:
     """(id, keep..., base_value, contributions): path-dependent attributions in log-odds.
 
     base_value plus the contributions is the model's log-odds for the row. The leaf table travels as
     a broadcast of bounded size; rows stay where they are.
     """
     spark = df.sparkSession
-    leaves = leaf_paths(tree_nodes(fitted, path))
+    leaves = leaf_paths(tree_nodes(fitted))
     width = max(1, max((len(leaf["box"]) for leaf in leaves), default=1))
     per_pass = max(1, MAX_LEAF_CELLS // width)
     base = base_value(leaves)
@@ -216,8 +199,6 @@ def shap_importance(shap: DataFrame, features: list[str], k: int = 15) -> DataFr
 
 def gain_importance(fitted: Fitted, k: int = 15) -> DataFrame:
     """(feature, importance): share of the split gain, the k largest."""
-    from pyspark.sql import SparkSession
-
     gains = fitted.core.featureImportances.toArray()
     rows = [(f, float(g)) for f, g in zip(fitted.features, gains)]
     frame = SparkSession.active().createDataFrame(rows, "feature STRING, importance DOUBLE")

@@ -1,4 +1,4 @@
-"""Fitting and scoring with MLlib learners; cross-validation and random search over them."""
+"""Fitting and scoring: logistic regression by MLlib, boosted trees by `boosting`; cross-validation and random search."""
 
 from __future__ import annotations
 
@@ -8,18 +8,18 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorepipe.functions.columns import quoted
+from scorepipe.operators import boosting
 from scorepipe.operators.encode import fit_scaler
 from scorepipe.operators.metrics import accuracy, label_auc, predict_label, rank_metrics
 from scorepipe.operators.profile import cv_summary
 from scorepipe.operators.sampling import fold_frames
-from scorepipe.session import shared_dir
 from scorepipe.sources.tables import dealt, materialise
 
 # The tuned settings of the three balancing strategies.
@@ -56,12 +56,21 @@ class Fitted:
 
     @property
     def core(self):
-        return self.model.stages[-1]
+        return self.model if self.kind == "gbt" else self.model.stages[-1]
 
     def save(self, path: str) -> str:
-        self.model.write().overwrite().save(path)
+        if self.kind == "gbt":
+            self.model.save(path, SparkSession.active())
+        else:
+            self.model.write().overwrite().save(path)
         return path
 
+    @staticmethod
+    def load(spark: SparkSession, kind: str, path: str, features: list[str], label: str, params: dict) -> Fitted:
+        """A saved model; a logistic one holds the scaling of its inputs."""
+        model = boosting.Ensemble.load(spark, path, features) if kind == "gbt" else PipelineModel.load(path)
+        return Fitted(kind, model, features, label, params)
+
 
 def _assembled(features: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
@@ -109,64 +118,26 @@ def fit_logistic(
 
 def coefficients(fitted: Fitted) -> DataFrame:
     """(feature, weight) of a logistic model, the intercept under its own name."""
-    from pyspark.sql import SparkSession
-
     rows = [("intercept", float(fitted.core.intercept))]
     rows += [(f, float(w)) for f, w in zip(fitted.features, fitted.core.coefficients.toArray())]
     return SparkSession.active().createDataFrame(rows, "feature STRING, weight DOUBLE")
 
 
-def gbt_params(params: dict, rounds: int = 100, seed: int = 100, rate: float = 0.5, total: float = 1.0) -> dict:
-    """Booster settings under their MLlib names, for data of ``total`` weight of which ``rate`` is positive.
-
-    `gamma` is a sum of loss gains, G^2 / 2H over the children less the parent. MLlib's threshold is a variance
-    gain a row, on targets four times the gradient; with H = p (1 - p) a row, gamma corresponds to
-    32 p (1 - p) gamma / n. `min_child_weight` is a sum of H, so mcw / (p (1 - p)) rows.
-    """
-    curve = max(rate * (1 - rate), 1e-6)
-    out = {"maxIter": rounds, "seed": seed, "lossType": "logistic"}
-    if "max_depth" in params:
-        out["maxDepth"] = int(params["max_depth"])
-        # deep trees: remember each row's node instead of walking the tree again at every level
-        out["cacheNodeIds"] = out["maxDepth"] >= 8
-    if "learning_rate" in params:
-        out["stepSize"] = float(params["learning_rate"])
-    if "gamma" in params:
-        out["minInfoGain"] = 32 * curve * float(params["gamma"]) / max(total, 1.0)
-    if "min_child_weight" in params:
-        out["minInstancesPerNode"] = max(1, round(float(params["min_child_weight"]) / curve))
-    if "colsample_bytree" in params:
-        out["featureSubsetStrategy"] = str(float(params["colsample_bytree"]))
-    return out
-
-
 def fit_gbt(
     df: DataFrame, features: list[str], label: str, params: dict, rounds: int = 100, seed: int = 100
 ) -> Fitted:
-    """Boosted trees. Training aggregates split statistics on the executors, level by level.
-
-    The shared folder lets MLlib checkpoint its running errors, so lineage stays short over many rounds.
-    """
-    shared_dir(df.sparkSession)
-    pos_weight = float(params.get("scale_pos_weight", 1))
-    ones, others = (int(x or 0) for x in df.agg(F.sum((quoted(label) == 1).cast("int")), F.sum((quoted(label) != 1).cast("int"))).first())
-    total = ones * pos_weight + others
-    settings = gbt_params(params, rounds, seed, ones * pos_weight / max(total, 1.0), total)
-    weight = F.when(quoted(label) == 1, pos_weight).otherwise(1.0)
-    rows = df.select(*[quoted(f) for f in features], quoted(label), weight.cast("double").alias("_weight"))
-    gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="_weight", **settings)
-    va = _assembled(features)
-    model = PipelineModel([va, gbt.fit(va.transform(dealt(rows, [*features, label])))])
+    """Boosted trees; settings that are not named keep the booster's defaults (see `boosting.Settings`)."""
+    model = boosting.fit(df, features, label, params, rounds, seed)
     return Fitted("gbt", model, features, label, {**params, "rounds": rounds})
 
 
 def score(fitted: Fitted, df: DataFrame, key: str, keep: list[str] = (), threshold: float = 0.5) -> DataFrame:
     """(id, keep..., label, score, pred): probability of the positive class and the hard label."""
-    scored = fitted.model.transform(df)
-    out = scored.select(
-        quoted(key).alias("id"), *[quoted(c) for c in keep], quoted(fitted.label).cast("int").alias("label"),
-        F.get(vector_to_array("probability"), F.lit(1)).alias("score"),
-    )
+    names = [quoted(key).alias("id"), *[quoted(c) for c in keep], quoted(fitted.label).cast("int").alias("label")]
+    if fitted.kind == "gbt":
+        out = fitted.model.transform(df, "_score").select(*names, F.col("_score").alias("score"))
+    else:
+        out = fitted.model.transform(df).select(*names, F.get(vector_to_array("probability"), F.lit(1)).alias("score"))
     return predict_label(out, "score", threshold)
 
 
@@ -206,15 +177,35 @@ def cross_validate(
     with ThreadPoolExecutor(max(1, min(k, parallelism))) as pool:  # small jobs of several fits fill the cluster
         scored = list(pool.map(one, range(k)))
     rows = reduce(lambda a, b: a.unionByName(b), scored)
+    return fold_scores(rows, metric, [fold]).select(quoted(fold).alias("fold"), "score")
+
+
+def fold_scores(rows: DataFrame, metric: str, by: list[str]) -> DataFrame:
+    """(by..., score) of scored rows (label, score, pred)."""
     if metric == "accuracy":
-        out = accuracy(rows, "label", "pred", [fold]).withColumnRenamed("accuracy", "score")
-    elif metric == "label_auc":
-        out = label_auc(rows, "label", "pred", [fold]).withColumnRenamed("label_auc", "score")
-    elif metric == "score_auc":
-        out = rank_metrics(rows, "label", "score", [fold]).select(fold, F.col("auc").alias("score"))
-    else:
-        raise ValueError(f"unknown metric {metric!r}")
-    return out.select(quoted(fold).alias("fold"), "score")
+        return accuracy(rows, "label", "pred", by).withColumnRenamed("accuracy", "score")
+    if metric == "label_auc":
+        return label_auc(rows, "label", "pred", by).withColumnRenamed("label_auc", "score")
+    if metric == "score_auc":
+        return rank_metrics(rows, "label", "score", by).select(*by, F.col("auc").alias("score"))
+    raise ValueError(f"unknown metric {metric!r}")
+
+
+def cross_validate_boosted(
+    df: DataFrame, features: list[str], label: str, draws: list[dict], metric: str, k: int = 5, rounds: int = 100, seed: int = 100,
+    fold: str = "fold",
+) -> DataFrame:
+    """(draw, fold, score) of one booster per setting and fold, all fitted over one binned copy of the rows.
+
+    Bins are cut on all rows (they never look at the label); gradients of a model come from the other folds only.
+    """
+    cuts = boosting.fit_cuts(df, features)
+    blocks = boosting.binned(df, features, label, cuts, fold)
+    models = [boosting.Settings.of(params, rounds, seed, i) for params in draws for i in range(k)]
+    margins, _ = boosting.fit_many(blocks, models, len(features), keep_trees=False)
+    rows = predict_label(boosting.left_out_scores(margins, models), "score")
+    found = fold_scores(rows, metric, ["model", "fold"])
+    return found.select(F.expr(f"CAST(model DIV {k} AS INT)").alias("draw"), "fold", "score")
 
 
 def random_draws(space: dict[str, list], n: int, seed: int = 100) -> list[dict]:
@@ -233,27 +224,28 @@ def random_draws(space: dict[str, list], n: int, seed: int = 100) -> list[dict]:
 
 def random_search(
     df: DataFrame, features: list[str], label: str, key: str, space: dict[str, list] = SEARCH_SPACE,
-    n: int = 200, k: int = 5, rounds: int = 100, seed: int = 100, fold: str = "fold", parallelism: int = 1,
+    n: int = 200, k: int = 5, rounds: int = 100, seed: int = 100, fold: str = "fold", halving: int | None = None,
 ) -> DataFrame:
-    """(draw, params, folds, mean, std_pop, best): cross-validated AUC of n settings from the grid.
+    """(draw, params, folds, mean, std_pop, rounds, best): cross-validated AUC of n settings from the grid.
 
-    `parallelism` settings are fitted at a time, each as Spark jobs of its own.
+    All settings and folds share one binned copy of the rows and are fitted side by side. With ``halving`` only the
+    best of every so many settings go on from a first few rounds to more of them; those left behind keep their
+    last score and its rounds, and none of them can be best.
     """
     spark = df.sparkSession
-    rows = materialise(df)
     draws = random_draws(space, n, seed)
-
-    def one(params):
-        scores = cross_validate(
-            rows, lambda t, f, y: fit_gbt(t, f, y, params, rounds, seed), features, label, key, "score_auc", k, fold=fold
-        )
-        return tuple(cv_summary(scores).select("folds", "mean", "std_pop").first())
-
-    with ThreadPoolExecutor(max(1, parallelism)) as pool:
-        found = list(pool.map(one, draws))
-    rows.unpersist()
-    top = max(range(len(found)), key=lambda d: (found[d][1] is not None, found[d][1] or 0.0, -d))
-    table = [(d, {a: str(b) for a, b in p.items()}, *f, d == top) for d, (p, f) in enumerate(zip(draws, found))]
+    found: dict[int, tuple] = {}
+    alive, steps = list(range(len(draws))), [rounds]
+    while halving and steps[0] >= halving and len(draws) >= halving ** len(steps):
+        steps.insert(0, max(1, steps[0] // halving))
+    for step in steps:
+        scores = cross_validate_boosted(df, features, label, [draws[d] for d in alive], "score_auc", k, step, seed, fold)
+        table = scores.groupBy("draw").agg(F.count("score"), F.avg("score"), F.stddev_pop("score")).collect()
+        found.update({alive[r[0]]: (*r[1:], step) for r in table})
+        if step != rounds:
+            alive = sorted(alive, key=lambda d: (-(found[d][1] or 0.0), d))[: -(-len(alive) // halving)]
+    top = max(alive, key=lambda d: (found[d][1] is not None, found[d][1] or 0.0, -d))
+    rows = [(d, {a: str(b) for a, b in p.items()}, *found[d], d == top) for d, p in enumerate(draws)]
     return spark.createDataFrame(
-        table, "draw INT, params MAP<STRING, STRING>, folds BIGINT, mean DOUBLE, std_pop DOUBLE, best BOOLEAN"
+        rows, "draw INT, params MAP<STRING, STRING>, folds BIGINT, mean DOUBLE, std_pop DOUBLE, rounds INT, best BOOLEAN"
     )

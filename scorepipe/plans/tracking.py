@@ -7,7 +7,6 @@ import uuid
 
 import pyspark
 from pyspark.errors import AnalysisException
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,7 +70,7 @@ class RunStore:
         if row is None:
             raise KeyError(model_id)
         params = {r["key"]: r["value"] for r in self.table("run_params").filter(F.col("run_id") == row["run_id"]).collect()}
-        return Fitted(row["flavor"], PipelineModel.load(row["path"]), list(row["features"]), row["label"], params)
+        return Fitted.load(self.spark, row["flavor"], row["path"], list(row["features"]), row["label"], params)
 
     def score_table(self, model_id: str, df: DataFrame, key: str, name: str) -> str:
         """Batch scoring: load a model, score a frame, replace the table by the result."""

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from scorepipe.functions.columns import quoted
 from scorepipe.operators import metrics
-from scorepipe.operators.models import TUNED, Fitted, cross_validate, fit_gbt, score
+from scorepipe.operators.models import TUNED, Fitted, cross_validate, cross_validate_boosted, fit_gbt, score
 from scorepipe.operators.profile import cv_summary
 from scorepipe.operators.sampling import kfold, oversample, smote
 from scorepipe.sources.tables import materialise
@@ -92,9 +92,11 @@ def train_evaluate(
             numbered = rows.withColumn("_row", F.coalesce(F.concat(F.lit("draw:"), quoted("draw").cast("string")), own))
             cv = cross_validate(kfold(numbered, "_row", folds), fit, features, label, "_row", "label_auc", folds)
         else:
-            cv = cross_validate(
-                materialise(kfold(train, key, folds)), fit, features, label, key, "label_auc", folds, balance=spec.balance
-            )
+            numbered = materialise(kfold(train, key, folds))
+            if spec.balance:
+                cv = cross_validate(numbered, fit, features, label, key, "label_auc", folds, balance=spec.balance)
+            else:  # all folds over one binned copy
+                cv = cross_validate_boosted(numbered, features, label, [spec.params], "label_auc", folds, rounds).drop("draw")
     return Outcome(
         spec.name, model,
         metrics.evaluate(scored), metrics.class_report(on_test, "label", "pred"),
