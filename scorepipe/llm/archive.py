@@ -183,7 +183,7 @@ def parsed(arcs: DataFrame, bodies: bool) -> DataFrame:
                     yield pa.RecordBatch.from_pydict(columns)
 
     narrow = "record_id STRING, sequence BIGINT, digest STRING, size BIGINT"
-    return arcs.select("content").mapInArrow(work, narrow + (", kind STRING, url STRING, date STRING, ip STRING, mime STRING, head BINARY, body BINARY" if bodies else ""))
+    return arcs.select("content").mapInArrow(common.lean(work), narrow + (", kind STRING, url STRING, date STRING, ip STRING, mime STRING, head BINARY, body BINARY" if bodies else ""))
 
 
 def arc_to_warc(arcs: DataFrame, path: str, least_bytes: int = 0, file_bytes: int = FILE_BYTES) -> None:
@@ -214,7 +214,7 @@ def arc_to_warc(arcs: DataFrame, path: str, least_bytes: int = 0, file_bytes: in
                 yield pa.RecordBatch.from_pydict({"record": pa.array([warc_bytes(r, r["response"]) for r in rows], pa.binary())})
 
     whole = parsed(arcs, bodies=True).repartition(files, "record_id").join(refers, "record_id", "left")
-    records = whole.mapInArrow(serialise, "record BINARY")
+    records = whole.mapInArrow(common.lean(serialise), "record BINARY")
     records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
 
 
@@ -248,7 +248,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["record_id", "record_type", "url", "refers_to_id", "sequence", "payload_bytes", "payload_digest", "payload"])
 
     schema = "record_id STRING, record_type STRING, url STRING, refers_to_id STRING, sequence BIGINT, payload_bytes BIGINT, payload_digest STRING, payload BINARY"
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(work, schema)
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(common.lean(work), schema)
 
 
 def pages_to_arc(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
@@ -280,7 +280,7 @@ def pages_to_arc(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFr
         if held:
             yield archive()
 
-    return pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(work, "path STRING, content BINARY")
+    return pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(common.lean(work), "path STRING, content BINARY")
 
 
 def archived_pages(pages: DataFrame, least_bytes: int = 0) -> DataFrame:

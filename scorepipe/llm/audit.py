@@ -84,7 +84,7 @@ def judged(docs: DataFrame) -> DataFrame:
             failed = pa.array([own_failures(text.as_py()) for text in batch.column(3)], pa.int32())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], failed], ["doc_id", "part", "digest", "failed"])
 
-    return rows.mapInArrow(judge, "doc_id BIGINT, part STRING, digest STRING, failed INT")
+    return rows.mapInArrow(common.lean(judge), "doc_id BIGINT, part STRING, digest STRING, failed INT")
 
 
 def failures(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -126,7 +126,7 @@ def survivors(failed: DataFrame) -> DataFrame:
                 columns = [pa.array([part.as_py()] * SUBSETS, pa.string()), pa.array(np.arange(SUBSETS, dtype=np.int32)), *map(pa.array, sums)]
                 yield pa.RecordBatch.from_arrays(columns, ["part", "subset", *KINDS])
 
-    found = failed.select("part", "failed", "good", "toxic").mapInArrow(count, "part STRING, subset INT, all BIGINT, good BIGINT, toxic BIGINT")
+    found = failed.select("part", "failed", "good", "toxic").mapInArrow(common.lean(count), "part STRING, subset INT, all BIGINT, good BIGINT, toxic BIGINT")
     sums = found.groupBy("part", "subset").agg(*[F.sum(k).alias(k) for k in KINDS])
     cells = F.sort_array(F.collect_list(F.struct("subset", *KINDS)))  # 32 of a part
     return sums.groupBy("part").agg(cells.alias("cells")).select("part", *[F.col(f"cells.{k}").alias(k) for k in KINDS])

@@ -93,7 +93,7 @@ def windows(docs: DataFrame, most_words: int = MOST_WORDS) -> DataFrame:
                         yield found
 
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(count, "prefix STRING, last STRING, n BIGINT")
+    return rows.mapInArrow(common.lean(count), "prefix STRING, last STRING, n BIGINT")
 
 
 def phrase_counts(docs: DataFrame, most_words: int = MOST_WORDS, least: int = LEAST_COUNT) -> DataFrame:

@@ -235,7 +235,7 @@ def encode(docs: DataFrame, model: bytes, key: str = "doc_id", text: str = "text
                 )
 
     plain = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return plain.mapInArrow(work, "doc_id BIGINT, n_tokens BIGINT, ids ARRAY<INT>, round_trip BOOLEAN, parity BOOLEAN")
+    return plain.mapInArrow(common.lean(work), "doc_id BIGINT, n_tokens BIGINT, ids ARRAY<INT>, round_trip BOOLEAN, parity BOOLEAN")
 
 
 def decode(tokens: DataFrame, model: bytes, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -248,7 +248,7 @@ def decode(tokens: DataFrame, model: bytes, key: str = "doc_id", ids: str = "ids
             texts = [None if x is None else decoded(x, table, m.dummy_prefix) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return tokens.select(F.col(key).cast("bigint").alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(work, "doc_id BIGINT, text STRING")
+    return tokens.select(F.col(key).cast("bigint").alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(common.lean(work), "doc_id BIGINT, text STRING")
 
 
 def read_model(path: str = MODEL_PATH) -> bytes:

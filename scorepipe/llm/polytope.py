@@ -192,7 +192,7 @@ def exact_nearest(rows: DataFrame, sample: list, k: int) -> list:
                     who, vec_ids, score = nearest(q, query_ids, x, ids[at], k)
                     yield pa.RecordBatch.from_arrays([pa.array(query_ids[who]), pa.array(vec_ids), pa.array(score)], ["query_id", "vec_id", "score"])
 
-    near = first_k(rows.mapInArrow(measure, PAIRS), k)
+    near = first_k(rows.mapInArrow(common.lean(measure), PAIRS), k)
     found = rows.join(F.broadcast(near), "vec_id").select("query_id", "vec_id", "vector")  # FIT_QUERIES * k rows at most
     return found.collect()
 
@@ -269,8 +269,8 @@ def search(
 
     if not bounds:
         return rows.sparkSession.createDataFrame([], "query_id BIGINT, rank INT, vec_id BIGINT, score DOUBLE")
-    indexed = rows.mapInArrow(index, cells)
-    probing = queries.mapInArrow(probe, cells)
+    indexed = rows.mapInArrow(common.lean(index), cells)
+    probing = queries.mapInArrow(common.lean(probe), cells)
     cell = ["dim", "tab", "bucket"]
     sizes = indexed.select(*cell, F.lit(1).alias("r"), F.lit(0).alias("q")).union(probing.select(*cell, F.lit(0), F.lit(1)))
     sizes = common.settled(sizes.groupBy(*cell).agg(F.sum("r").alias("r"), F.sum("q").alias("q")))
@@ -319,5 +319,5 @@ def search(
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["query_id", "vec_id", "score"])
 
-    best = first_k(meeting.mapInArrow(meet, PAIRS), k)
+    best = first_k(meeting.mapInArrow(common.lean(meet), PAIRS), k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

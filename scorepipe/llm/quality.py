@@ -113,7 +113,7 @@ def measured(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
             lists = pa.ListArray.from_arrays(np.arange(0, x.size + 1, len(FEATURES), dtype=np.int32), x.ravel())
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "x"])
 
-    return docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(work, "doc_id BIGINT, x ARRAY<FLOAT>")
+    return docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(common.lean(work), "doc_id BIGINT, x ARRAY<FLOAT>")
 
 
 @dataclass
@@ -196,7 +196,7 @@ def scored(measures: DataFrame, trees: Trees) -> DataFrame:
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(trees.score(x))], ["doc_id", "score"])
 
-    return measures.mapInArrow(work, "doc_id BIGINT, score DOUBLE")
+    return measures.mapInArrow(common.lean(work), "doc_id BIGINT, score DOUBLE")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = THRESHOLD, fit_rows: int = FIT_ROWS) -> DataFrame:
@@ -224,4 +224,4 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
             keep = [trees.score(statistics(data, starts)) >= THRESHOLD for _, data, starts in common.text_chunks(batch, "text", CHUNK)]
             yield batch.filter(pa.array(np.concatenate(keep) if keep else np.empty(0, bool)))
 
-    return docs.mapInArrow(work, schema)
+    return docs.mapInArrow(common.lean(work), schema)

@@ -406,4 +406,4 @@ def page_texts(pages: DataFrame, key: str = "page_id", html: str = "html") -> Da
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string()), sizes, lines], ["page_id", "text", "n_chars", "n_lines"])
 
     plain = pages.select(F.col(key).cast("bigint").alias("page_id"), F.col(html).cast("string").alias("html"))
-    return plain.mapInArrow(work, "page_id BIGINT, text STRING, n_chars BIGINT, n_lines BIGINT")
+    return plain.mapInArrow(common.lean(work), "page_id BIGINT, text STRING, n_chars BIGINT, n_lines BIGINT")

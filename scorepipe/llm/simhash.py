@@ -91,7 +91,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, key: str =
                     out[i] = fingerprint(raw[starts[i - rows.start] : starts[i - rows.start + 1]], shingle_words)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(work, "doc_id BIGINT, fp BIGINT")
+    return docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(common.lean(work), "doc_id BIGINT, fp BIGINT")
 
 
 def keys(distinct: DataFrame) -> DataFrame:
@@ -108,7 +108,7 @@ def keys(distinct: DataFrame) -> DataFrame:
                 ok = code >= 0
                 yield pa.RecordBatch.from_arrays([pa.array(key[ok]), pa.array(np.broadcast_to(fp.view(np.int64)[:, None], code.shape)[ok])], ["k", "fp"])
 
-    return distinct.select("fp").mapInArrow(work, "k BIGINT, fp BIGINT")
+    return distinct.select("fp").mapInArrow(common.lean(work), "k BIGINT, fp BIGINT")
 
 
 def forest(left: np.ndarray, right: np.ndarray | None, most_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -189,7 +189,7 @@ def links(keyed: DataFrame, parts: int, most_bits: int = MOST_BITS, run_rows: in
             yield from close()
 
     schema = "tile INT, k BIGINT, a BIGINT, b BIGINT"
-    found = common.settled(keyed.repartition(parts, "k").sortWithinPartitions("k").mapInArrow(runs_of, schema))
+    found = common.settled(keyed.repartition(parts, "k").sortWithinPartitions("k").mapInArrow(common.lean(runs_of), schema))
     near = found.filter("tile = 0").select("a", "b")
     tiles = found.filter("tile > 0").select("k", "tile", F.col("a").alias("fp"))
     if not tiles.take(1):

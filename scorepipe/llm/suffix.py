@@ -170,7 +170,7 @@ def sampled(docs: DataFrame, length: int) -> DataFrame:
                 if len(repeat):
                     yield range_batch(doc[repeat], low[repeat], low[repeat] + n[repeat])
 
-    return docs.mapInArrow(work, ROWS)
+    return docs.mapInArrow(common.lean(work), ROWS)
 
 
 def refined(rows: DataFrame, parts: int, settle: bool) -> DataFrame:
@@ -216,7 +216,7 @@ def refined(rows: DataFrame, parts: int, settle: bool) -> DataFrame:
         if last is not None and last[4]:
             yield pa.RecordBatch.from_arrays([pa.array(x[None] if hasattr(x, "shape") else [x], pa.int64()) for x in (last[2], last[3], 0)], ["doc", "code", "end"])
 
-    return rows.repartition(parts, "a").sortWithinPartitions("a", "b", "doc", "code").mapInArrow(work, "doc BIGINT, code BIGINT, end BIGINT")
+    return rows.repartition(parts, "a").sortWithinPartitions("a", "b", "doc", "code").mapInArrow(common.lean(work), "doc BIGINT, code BIGINT, end BIGINT")
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -236,7 +236,7 @@ def packed(docs: DataFrame) -> DataFrame:
 
     more = "".join(f", rest {kind}" for name, kind in docs.dtypes if name == "rest")
     # the filter keeps every row; an inner join would add it, and both uses must look alike to share a shuffle
-    return docs.mapInArrow(work, f"doc_id BIGINT, z BINARY{more}").filter("doc_id IS NOT NULL")
+    return docs.mapInArrow(common.lean(work), f"doc_id BIGINT, z BINARY{more}").filter("doc_id IS NOT NULL")
 
 
 def unpacked(batch: pa.RecordBatch, squeezed) -> Iterator[tuple[int, bytes, np.ndarray]]:
@@ -275,7 +275,7 @@ def open_windows(texts: DataFrame, marks: DataFrame, length: int) -> DataFrame:
                     p = np.concatenate([np.arange(max(i, at), min(j, at + CHUNK)) for i, j in zip(low[inside], high[inside])])
                     yield row_batch(first[p - at], last[p - at] & NAME_BITS, np.full(len(p), doc), p << 16 | 1)
 
-    return texts.join(by_document(marks).hint("shuffle_hash"), "doc_id").mapInArrow(work, ROWS)
+    return texts.join(by_document(marks).hint("shuffle_hash"), "doc_id").mapInArrow(common.lean(work), ROWS)
 
 
 def without(text: bytes, pairs: np.ndarray, length: int) -> tuple[bytes, int]:
@@ -303,7 +303,7 @@ def cut(texts: DataFrame, marks: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     schema = "doc_id BIGINT, n_bytes BIGINT, n_removed BIGINT, n_spans BIGINT, kept_sha256 STRING"
-    return texts.join(by_document(marks).hint("shuffle_hash"), "doc_id", "left").mapInArrow(work, schema)
+    return texts.join(by_document(marks).hint("shuffle_hash"), "doc_id", "left").mapInArrow(common.lean(work), schema)
 
 
 def repeated_spans(plain: DataFrame, texts: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -360,7 +360,7 @@ def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("rest")), pa.array(left, pa.string())], ["rest", "text"])
 
     kind = dict(wide.dtypes)["rest"]
-    fixed = texts.join(marks.hint("shuffle_hash"), "doc_id", "left").mapInArrow(work, f"rest {kind}, text STRING")
+    fixed = texts.join(marks.hint("shuffle_hash"), "doc_id", "left").mapInArrow(common.lean(work), f"rest {kind}, text STRING")
     columns = {c: F.col("rest")[c] for c in others} | {"text": F.col("text")}
     if "n_chars" in columns:
         columns["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)
