@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scorepipe.llm import common
+
 # Element sets of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes title textarea".split())
@@ -57,10 +59,25 @@ BLANK = " \t\n\f\r"
 BLANKS = re.compile(f"[{BLANK}]+")
 WIDEST_ALIGNED = 80
 """Cells wider than this do not widen their column."""
+MOST_INDENT = 64
+"""Deeper lines are indented no further, so nesting cannot multiply the text."""
+MOST_SPAN, MOST_SPANNED = 1000, 100_000
+"""Empty cells that one spanning cell, and all those of a table, can add."""
+LONG_NUMBER = re.compile(r"&#([0-9]{8,})(;?)")
+
+
+def unescaped(text: str) -> str:
+    """Character references resolved; numbers beyond all characters, however long, become U+FFFD."""
+
+    def short(m: re.Match) -> str:
+        digits = m[1].lstrip("0") or "0"
+        return "\ufffd" if len(digits) > 7 else f"&#{digits}{m[2]}"
+
+    return entities.unescape(LONG_NUMBER.sub(short, text)) if "&" in text else text
 
 
 def attributes(source: str) -> dict[str, str]:
-    return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in reversed(list(ATTRIBUTE.finditer(source)))}
+    return {m[1].lower(): unescaped(m[2] or m[3] or m[4] or "") for m in reversed(list(ATTRIBUTE.finditer(source)))}
 
 
 def events(page: str) -> Iterator[tuple[str, str, str]]:
@@ -127,9 +144,9 @@ class Writer:
             if self.lines:
                 self.lines += [""] * self.gap
             self.gap = 0
-            lead = self.indent
+            lead = self.indent[:MOST_INDENT]
             if self.mark is not None:
-                lead = self.indent[: len(self.indent) - len(self.mark)] + self.mark
+                lead = self.indent[: len(self.indent) - len(self.mark)][:MOST_INDENT] + self.mark
                 self.mark = None
             self.line.append(lead)
             self.space = False
@@ -179,6 +196,7 @@ class Writer:
 class Table:
     def __init__(self):
         self.rows: list[list[list[str]]] = []
+        self.spanned = 0
 
     def cells(self, new_row: bool) -> list[list[str]]:
         if new_row or not self.rows:
@@ -210,19 +228,25 @@ class Renderer:
         self.tables: list[Table] = []
         self.counters: list[int | None] = []
         self.names: list[str] = []
+        self.places: dict[str, list[int]] = {}  # where each name stands open, so that nothing is searched for
+
+    def last(self, tags: frozenset) -> int:
+        """Position of the innermost open element of these names, -1 without one."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
 
     def pop(self) -> None:
         tag, hidden, _, _, kept = self.open.pop()
-        self.names.pop()
+        self.places[self.names.pop()].pop()
         if hidden or tag not in BLOCKS:
             return
         w = self.writers[-1]
-        if tag in ("td", "th", "caption") and kept == "cell":
+        if tag in ("td", "th", "caption") and kept is not None:
             lines = self.writers.pop().whole()
             if tag == "caption":
                 self.tables[-1].rows.insert(0, [lines])
-            else:
-                self.tables[-1].rows[-1][-1] = lines
+            else:  # its own place, whatever rows came since
+                row, at = kept
+                row[at] = lines
         elif tag == "table":
             lines = self.tables.pop().aligned()
             w.block(1 if w.lines else 0)
@@ -244,17 +268,15 @@ class Renderer:
             w.block(1 if tag in SPACED else 0)
 
     def close_to(self, wanted: frozenset, stop: frozenset) -> bool:
-        for i in range(len(self.names) - 1, -1, -1):
-            if self.names[i] in wanted:
-                while len(self.names) > i:
-                    self.pop()
-                return True
-            if self.names[i] in stop:
-                return False
-        return False
+        at = self.last(wanted)
+        if at < 0 or at < self.last(stop):
+            return False
+        while len(self.names) > at:
+            self.pop()
+        return True
 
     def start_tag(self, tag: str, source: str) -> None:
-        if tag == "head" and "head" in self.names or tag in ("html", "body") and tag in self.names:
+        if tag in ("head", "html", "body") and self.places.get(tag):
             return
         if self.names and self.names[-1] == "head" and tag not in HEAD:
             self.pop()
@@ -264,9 +286,8 @@ class Renderer:
             self.pop()
         if tag in IMPLIED:
             self.close_to(*IMPLIED[tag])
-        if tag in ("td", "th") and (not self.names or "tr" not in self.names[self.last_table() :]):
-            if self.last_table() >= 0:
-                self.start_tag("tr", "")
+        if tag in ("td", "th") and 0 <= self.last_table() > self.last(frozenset(["tr"])):
+            self.start_tag("tr", "")
         given = attributes(source) if source else {}
         _, hidden, invisible, pre, _ = self.open[-1] if self.open else ("", False, False, False, None)
         style = re.sub(r"\s", "", given.get("style", "")).lower() if "style" in given else ""
@@ -290,11 +311,17 @@ class Renderer:
             elif tag in ("td", "th", "caption") and self.last_table() >= 0:
                 if tag != "caption":
                     span = given.get("colspan", "1")
-                    row = self.tables[-1].cells(False)
-                    row += [[] for _ in range(int(span) if span.isdigit() and 0 < int(span) <= 1000 else 1)]
-                    row[-1], kept = [], "cell"
+                    table = self.tables[-1]
+                    row = table.cells(False)
+                    spans = int(span) if re.fullmatch("[0-9]{1,6}", span) and 0 < int(span) <= MOST_SPAN else 1
+                    more = min(spans - 1, MOST_SPANNED - table.spanned)
+                    table.spanned += more
+                    row += [[]] * more
+                    row.append([])
+                    kept = (row, len(row) - 1)
+                else:
+                    kept = "caption"
                 self.writers.append(Writer())
-                kept = "cell"
             elif tag == "tr" and self.tables:
                 self.tables[-1].cells(True)
             elif tag == "table":
@@ -303,7 +330,7 @@ class Renderer:
             elif tag in LISTS:
                 w.block(0 if self.counters else 1)
                 first = given.get("start", "1")
-                self.counters.append(None if tag != "ol" else int(first) if re.fullmatch(r"-?\d{1,9}", first) else 1)
+                self.counters.append(None if tag != "ol" else int(first) if re.fullmatch("-?[0-9]{1,9}", first) else 1)
             elif tag == "li":
                 w.block(0)
                 mark = "* "
@@ -320,14 +347,13 @@ class Renderer:
         if tag == "details":
             kept = "open" if "open" in given else "shut"
         if tag not in VOID:
+            self.places.setdefault(tag, []).append(len(self.names))
             self.open.append((tag, hidden, invisible, pre, kept))
             self.names.append(tag)
 
     def last_table(self) -> int:
-        for i in range(len(self.names) - 1, -1, -1):
-            if self.names[i] == "table":
-                return i if not self.open[i][1] else -1
-        return -1
+        at = self.last(frozenset(["table"]))
+        return -1 if at < 0 or self.open[at][1] else at
 
     def end_tag(self, tag: str) -> None:
         if tag == "br":
@@ -352,7 +378,7 @@ class Renderer:
             return
         if tag in ("table", "thead", "tbody", "tfoot", "tr") and not source.strip(BLANK):
             return
-        shown = entities.unescape(source) if "&" in source else source
+        shown = unescaped(source)
         if pre:
             self.writers[-1].verbatim(shown)
         else:
@@ -361,7 +387,7 @@ class Renderer:
     def raw(self, source: str) -> None:
         tag, hidden, invisible, _, _ = self.open[-1]
         if not hidden and not invisible:
-            self.writers[-1].verbatim(entities.unescape(source) if tag == "textarea" else source)
+            self.writers[-1].verbatim(unescaped(source) if tag == "textarea" else source)
 
 
 def rendered(page: str | None) -> str:
