@@ -295,7 +295,8 @@ def cut(texts: DataFrame, marks: DataFrame, length: int) -> DataFrame:
         squeezed = zstandard.ZstdDecompressor()
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
-            for doc, text, pairs in unpacked(batch, squeezed):
+            ids = batch.column(batch.schema.get_field_index("rest")).field("__id").to_pylist()
+            for doc, (_, text, pairs) in zip(ids, unpacked(batch, squeezed)):
                 kept, spans = without(text, pairs, length)
                 for column, value in zip(out, (doc, len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest())):
                     column.append(value)
@@ -318,9 +319,29 @@ def repeated_spans(plain: DataFrame, texts: DataFrame, length: int = LENGTH) ->
     return refined(open_windows(texts, first, length), parts, settle=True)
 
 
-def plain_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    lowest = F.lit(int(np.iinfo(np.int64).min))
-    return docs.select(F.coalesce(F.col(key).cast("bigint"), lowest).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+LOWEST = int(np.iinfo(np.int64).min)
+
+
+def with_names(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, text and more) with a doc_id that names one text, in the order of the ids and of MD5 of the texts.
+
+    Ids that are all different name their texts already. Otherwise every distinct pair of id and text gets its number
+    in a sort by both, and the texts are written with it once.
+    """
+    if not rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1):
+        return rows
+    pair = rows.select("doc_id", common.text_name("text").alias("name")).distinct().orderBy("doc_id", "name")
+    numbers = common.settled(pair.withColumn("number", F.monotonically_increasing_id()))
+    kept = [c for c in rows.columns if c != "doc_id"]
+    named = rows.withColumn("name", common.text_name("text")).join(numbers, ["doc_id", "name"])
+    return common.settled(named.select(F.col("number").alias("doc_id"), *kept))
+
+
+def plain_texts(docs: DataFrame, key: str, text: str, rest: list[str] = ()) -> DataFrame:
+    """(doc_id, text, rest): a null id comes first, a null text is empty; ``rest`` holds other columns and the id itself."""
+    own = F.col(key).cast("bigint")
+    more = F.struct(own.alias("__id"), *[F.col(c) for c in rest]).alias("rest")
+    return with_names(docs.select(F.coalesce(own, F.lit(LOWEST)).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), more))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -328,14 +349,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
 
     Texts are judged as UTF-8 bytes. A byte goes when a string of ``length`` bytes that covers it also starts
     earlier: in a document with a smaller id, or earlier in the same one. Matches end at the end of a document;
-    strings are judged on the input. Null texts are empty. The id names the document: rows that repeat an id
-    with the same text are one document and give the same result each; a null id sorts before all others and
-    comes back null. Extra columns are ignored. An empty table gives no rows.
+    strings are judged on the input. Null texts are empty. Rows that repeat an id with the same text are one
+    document and give the same result each; rows of one id with different texts are documents of their own, in
+    the order of the MD5 of their texts. A null id sorts before all others and comes back null. Texts of any
+    length are taken whole, in chunks. Extra columns are ignored. An empty table gives no rows.
     """
-    plain = plain_texts(docs, key, text)
-    texts = packed(plain)
-    out = cut(texts, repeated_spans(plain, texts, length), length)
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(int(np.iinfo(np.int64).min))))
+    rows = plain_texts(docs, key, text)
+    plain = rows.select("doc_id", "text")
+    texts = packed(rows)
+    return cut(texts, repeated_spans(plain, texts, length), length)
 
 
 def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -344,10 +366,9 @@ def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     A cut can leave part of a character, since strings are bytes; such parts are dropped. n_chars, where there
     is such a column, is counted anew. A null text comes back empty.
     """
-    plain = plain_texts(docs, "doc_id", "text")
     others = [c for c in docs.columns if c != "text"]
-    lowest = F.lit(int(np.iinfo(np.int64).min))
-    wide = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), lowest).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.struct(*[F.col(c) for c in others]).alias("rest"))
+    wide = plain_texts(docs, "doc_id", "text", others)
+    plain = wide.select("doc_id", "text")
     texts = packed(wide)
     marks = by_document(repeated_spans(plain, texts, length))
 
