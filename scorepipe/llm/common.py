@@ -28,6 +28,11 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def text_name(text: str) -> Column:
+    """16 bytes that name a text; null and empty texts are one."""
+    return F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")))
+
+
 def lean(work: Callable) -> Callable:
     """The same function for mapInArrow, which gives free memory back to the system when its task ends.
 

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from scorepipe.llm import common
 
@@ -80,7 +81,7 @@ def fingerprint(text: bytes, words: int, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp BIGINT: the fingerprint's 64 bits). A null or blank text has fingerprint zero."""
+    """(doc_id, name, fp): fp BIGINT holds the fingerprint's 64 bits, name the MD5 of the text. A null or blank text has fingerprint zero."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,9 +90,10 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, key: str =
                 raw = data.tobytes()
                 for i in range(rows.start, rows.stop):
                     out[i] = fingerprint(raw[starts[i - rows.start] : starts[i - rows.start + 1]], shingle_words)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out.view(np.int64))], ["doc_id", "name", "fp"])
 
-    return docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(common.lean(work), "doc_id BIGINT, fp BIGINT")
+    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), common.text_name(text).alias("name"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(common.lean(work), "doc_id BIGINT, name BINARY, fp BIGINT")
 
 
 def keys(distinct: DataFrame) -> DataFrame:
@@ -220,19 +222,36 @@ def simhash_groups(
     like any other. Repeated rows each give a row. Rows with a null id keep it and count only when a component
     has no other id (component_id is then null). Other columns are ignored. An empty table gives no rows.
     """
+    marked = common.settled(fingerprints(docs, shingle_words, key, text).drop("name"))
+    named = roots(marked, most_bits)
+    lowest = named.groupBy("root").agg(F.min("low.doc_id").alias("component_id"))
+    by_fp = named.join(lowest, "root").select("fp", "component_id")
+    return marked.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def roots(marked: DataFrame, most_bits: int) -> DataFrame:
+    """(fp, low, root) of every distinct fingerprint: its first row (rows without an id last) and what names its component."""
     if not 0 <= most_bits <= 3:
         raise ValueError("the keys are complete for at most three differing bits")
-    marked = common.settled(fingerprints(docs, shingle_words, key, text))
-    distinct = common.settled(marked.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), *[F.col(c) for c in marked.columns if c != "fp"])
+    distinct = common.settled(marked.groupBy("fp").agg(F.min(order).alias("low")))
+    parts = int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rooted = common.components(links(keys(distinct), parts, most_bits))
-    named = distinct.join(rooted.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = named.join(lowest, "root").select("fp", "component_id")
-    return marked.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return distinct.join(rooted.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
 def keep_first(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, most_bits: int = MOST_BITS) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; of repeated ids every row stays."""
-    ids = simhash_groups(docs, shingle_words, most_bits).filter("doc_id = component_id OR component_id IS NULL").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"]), "left_semi")
+    """One row of ``docs`` for each component: the first by id (null ids last), then by the MD5 of the text.
+
+    Of rows that repeat both, one stays, the first by the hash of all its columns.
+    """
+    marked = common.settled(fingerprints(docs, shingle_words))
+    heads = roots(marked, most_bits).groupBy("root").agg(F.min("low").alias("head")).select("head.doc_id", "head.name")
+    heads = common.settled(heads.select(F.col("doc_id").alias("__id"), F.col("name").alias("__name")))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (common.text_name("text") == F.col("__name"))
+    kept = docs.join(heads, same, "left_semi")
+    again = marked.groupBy("doc_id", "name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if not again.take(1):
+        return kept
+    place = F.row_number().over(Window.partitionBy("doc_id", common.text_name("text")).orderBy(F.xxhash64(*docs.columns)))
+    return kept.withColumn("__place", place).filter("__place = 1").drop("__place")
