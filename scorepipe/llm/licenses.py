@@ -4,8 +4,11 @@ Rolling hashes of k words of every text are joined with the same hashes of the t
 i with template word j votes for the diagonal i - j; a copy of a notice is a diagonal with many votes, and
 inserted or missing words move it to a neighbouring one. A vote must agree in two hashes of other kinds, 96 bits
 together; the words themselves stay behind, since a row of every gram with its text's words would copy each text
-as often as it has words. Votes are summed by diagonal, neighbouring diagonals are merged into one band, and a
-band is verified by the template words it covers: they must be enough of the template.
+as often as it has words. Votes are summed by diagonal and neighbouring diagonals are merged into one band. The
+few bands that cover enough of a template go back to their text and are verified: only template words count that
+stand in the text at the very place that a vote of the band names.
+
+Votes belong to a text, named by its MD5, not to an id: rows that share an id, or have none, are told apart.
 """
 
 from __future__ import annotations
@@ -13,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from scorepipe.llm import common
+
 GRAM = 4
 SHARE = 0.6
 NEAR_DIAGONALS = 4
@@ -65,27 +70,47 @@ def template_grams(spark: SparkSession, templates: list[tuple[str, str]], k: int
 
 
 def bands(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, k: int = GRAM, near: int = NEAR_DIAGONALS) -> DataFrame:
-    """(doc_id, label, template, first_word, end_word, coverage): merged diagonals with the share of the template they cover."""
+    """(name, label, template, first_word, end_word, diagonals, coverage): merged diagonals of a text with the share of the template they cover.
+
+    ``name`` is `common.text_name` of the text; ``diagonals`` lists each diagonal with the template places of its votes.
+    """
     grams = template_grams(docs.sparkSession, templates, k)
-    cut = docs.select("doc_id", words(F.col("text")).alias("w")).withColumn("h", gram_hashes("w", k))
+    cut = docs.select(common.text_name("text").alias("name"), words(F.col("text")).alias("w")).withColumn("h", gram_hashes("w", k))
     # an outer explode, since for an inner one the optimizer tests that the array is not empty and, doing so, cuts the words anew for every gram
     votes = (
-        cut.select("doc_id", F.posexplode_outer("h").alias("pos", "gram"))
-        .select("doc_id", "pos", "gram.h", "gram.g")
+        cut.select("name", F.posexplode_outer("h").alias("pos", "gram"))
+        .select("name", "pos", "gram.h", "gram.g")
         .join(F.broadcast(grams), ["h", "g"])  # bounded by the words of the templates
-        .select("doc_id", "label", "template", "n_template", (F.col("pos") - F.col("tpos")).alias("diagonal"), "tpos")
+        .select("name", "label", "template", "n_template", (F.col("pos") - F.col("tpos")).alias("diagonal"), "tpos")
     )
-    key = ["doc_id", "label", "template", "n_template"]
+    key = ["name", "label", "template", "n_template"]
     diagonals = votes.groupBy(*key, "diagonal").agg(F.collect_set("tpos").alias("places"))
     along = Window.partitionBy(*key).orderBy("diagonal")
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > near, F.lit(True))
     merged = diagonals.withColumn("apart", apart.cast("int")).withColumn("band", F.sum("apart").over(along.rowsBetween(Window.unboundedPreceding, 0)))
     found = merged.groupBy(*key, "band").agg(
-        F.flatten(F.collect_list("places")).alias("places"),
+        F.flatten(F.collect_list("places")).alias("places"), F.collect_list(F.struct("diagonal", "places")).alias("diagonals"),
         F.min(F.col("diagonal") + F.array_min("places")).alias("first_word"), F.max(F.col("diagonal") + F.array_max("places") + k).alias("end_word"),
     )
     covered = F.size(F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + k - 1)))))
-    return found.select("doc_id", "label", "template", "first_word", "end_word", (covered / F.col("n_template")).alias("coverage"))
+    return found.select("name", "label", "template", "first_word", "end_word", "diagonals", (covered / F.col("n_template")).alias("coverage"))
+
+
+def verified(found: DataFrame, docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, k: int = GRAM) -> DataFrame:
+    """(name, label, template, first_word, end_word, coverage): bands with the share of template words that stand in the text where the votes say."""
+    spark = docs.sparkSession
+    listed = F.array(*[F.struct(F.lit(i).alias("template"), F.lit(text).alias("source")) for i, (_, text) in enumerate(templates)])
+    wanted = spark.range(1).select(F.inline(listed)).select("template", words(F.col("source")).alias("t"))  # as many rows as templates
+    texts = docs.select(common.text_name("text").alias("name"), F.col("text"))
+    both = found.join(texts, "name").join(F.broadcast(wanted), "template").withColumn("w", words(F.col("text")))
+
+    def places(d: Column) -> Column:
+        own = F.array_distinct(F.flatten(F.transform(d["places"], lambda p: F.sequence(p, p + k - 1))))
+        return F.filter(own, lambda p: F.get(F.col("w"), (p + d["diagonal"]).cast("int")) == F.get(F.col("t"), p))
+
+    stand = F.size(F.array_distinct(F.flatten(F.transform("diagonals", places)))) / F.size("t")
+    # copies of a text give equal rows
+    return both.select("name", "label", "template", "first_word", "end_word", stand.alias("coverage")).distinct()
 
 
 def phrase_places(w: str) -> Column:
@@ -113,8 +138,9 @@ def license_labels(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES
 
     base_labels come from phrases, labels also from bands that cover at least ``share`` of a template; both are
     distinct, sorted, joined by commas, and empty where nothing was found. score is 1 where a phrase stands, else
-    the best coverage of a band (0 without one). Null texts have no words. Rows that repeat an id share the
-    method's labels; a null id is an id like any other. Extra columns are ignored; an empty table gives no rows.
+    the best coverage of a band (0 without one): verified where it reaches ``share``, by votes below. Null texts
+    have no words. Every row is judged by its own text, whatever its id; a null id comes back null. Texts of any
+    length are taken whole. Extra columns are ignored; an empty table gives no rows.
     """
     plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     lowered = F.lower(F.coalesce(F.col("text"), F.lit("")))
@@ -122,13 +148,16 @@ def license_labels(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES
     ends = lowered.contains(PHRASES[0][0].split(" ")[-1])
     none = F.array().cast("array<struct<start:bigint,label:string>>")
     base = (
-        plain.select("doc_id", F.regexp_count(lowered, F.lit(WORDS)).cast("bigint").alias("n_words"), F.when(ends, words(F.col("text"))).otherwise(F.array().cast("array<string>")).alias("w"))
+        plain.select("doc_id", common.text_name("text").alias("name"), F.regexp_count(lowered, F.lit(WORDS)).cast("bigint").alias("n_words"), F.when(ends, words(F.col("text"))).otherwise(F.array().cast("array<string>")).alias("w"))
         .withColumn("places", F.when(F.size("w") > 0, phrase_places("w")).otherwise(none))
-        .select("doc_id", "n_words", "places.start", F.array_distinct("places.label").alias("own"))
+        .select("doc_id", "name", "n_words", "places.start", F.array_distinct("places.label").alias("own"))
     )
-    best = bands(plain, templates, k).groupBy("doc_id").agg(F.collect_set(F.when(F.col("coverage") >= share, F.col("label"))).alias("voted"), F.max("coverage").alias("coverage"))
-    best = best.withColumnRenamed("doc_id", "id")
-    joined = base.join(best, base["doc_id"].eqNullSafe(best["id"]), "left")
+    voted = common.settled(bands(plain, templates, k))
+    high = F.col("coverage") >= share
+    checked = verified(voted.filter(high), plain, templates, k)
+    every = checked.unionByName(voted.filter(~high).drop("diagonals"))
+    best = every.groupBy("name").agg(F.collect_set(F.when(high, F.col("label"))).alias("voted"), F.max("coverage").alias("coverage"))
+    joined = base.join(best, "name", "left")
     every = F.array_union("own", F.coalesce("voted", F.array().cast("array<string>")))
     return joined.select(
         "doc_id", "n_words", F.size("start").cast("bigint").alias("n_base"), F.array_min("start").alias("first_word"), F.array_max("start").alias("last_word"),

@@ -7,7 +7,9 @@ import time
 import numpy as np
 import pytest
 
-from scorepipe.llm import decontaminate, render, simhash, suffix
+from pyspark.sql import functions as F
+
+from scorepipe.llm import common, decontaminate, licenses, render, simhash, suffix
 
 DOCS = "doc_id BIGINT, text STRING, lang STRING, source STRING, name STRING, fp INT"
 
@@ -108,3 +110,35 @@ def test_tag_soup_never_fails():
     for _ in range(4000):
         parts = (f"<{rng.choice(tags)}>", f"</{rng.choice(tags)}>", "x ", "y&amp;")
         render.rendered("".join(rng.choice((f"<{rng.choice(tags)}>", f"</{rng.choice(tags)}>", *parts)) for _ in range(rng.randint(3, 60))))
+
+
+# licenses
+
+
+def test_labels_go_by_text_and_words(spark):
+    notice = dict(licenses.TEMPLATES)["bsd"]
+    other = passage(1, 40)
+    rows = [(None, notice), (None, other), (9, "x y " + notice + " z"), (9, other), (9, None), (3, notice.upper() + " " + notice)]
+    got = {r["name"]: r for r in docs_with_labels(spark, rows)}
+    assert [got[f"r{i}"]["labels"] for i in range(6)] == ["bsd", "", "bsd", "", "", "bsd"]
+    assert [got[f"r{i}"]["score"] for i in range(6)] == [1.0, 0.0, 1.0, 0.0, 0.0, 1.0]
+
+
+def docs_with_labels(spark, rows):
+    docs = docs_of(spark, rows)
+    by_text = licenses.license_labels(docs.selectExpr("fp AS doc_id", "text")).withColumnRenamed("doc_id", "fp")
+    by_id = licenses.license_labels(docs)
+    assert sorted(map(repr, by_id.drop("doc_id").collect())) == sorted(map(repr, by_text.drop("fp").collect()))
+    return by_text.join(docs, "fp").collect()
+
+
+def test_votes_without_the_words_are_refused(spark):
+    notice = dict(licenses.TEMPLATES)["bsd"].lower().replace(",", "").split()
+    docs = docs_of(spark, [(1, " ".join(notice))])
+    found = licenses.bands(docs).filter("label = 'bsd'")
+    assert licenses.verified(found, docs).first()["coverage"] == 1.0
+    # the same votes, but the text at their places is another one
+    moved = docs_of(spark, [(1, " ".join(["one", *notice]))]).withColumn("old", F.lit(" ".join(notice)))
+    name = found.first()["name"]
+    wrong = licenses.verified(found.withColumn("name", common.text_name("label")), moved.withColumn("text", F.lit("bsd")))
+    assert name is not None and wrong.first()["coverage"] == 0.0
