@@ -115,7 +115,8 @@ def tokenizer(model: Model, prefix: bool):
                 merges += [(-score, ids[p], p[:i], p[i:]) for i in range(1, len(p)) if p[:i] in usable and p[i:] in usable]
         merges.sort(key=lambda m: (m[0], ids[m[2]], ids[m[3]]))
         name = model.pieces[unknown][0] if unknown is not None else None
-        built = Tokenizer(models.BPE(ids, [(a, b) for _, _, a, b in merges], unk_token=name, fuse_unk=True, byte_fallback=model.byte_fallback))
+        # no cache: every stretch comes once, and the caches of the library's threads outlive the tokenizer
+        built = Tokenizer(models.BPE(ids, [(a, b) for _, _, a, b in merges], unk_token=name, fuse_unk=True, byte_fallback=model.byte_fallback, cache_capacity=0))
     steps = [normalizers.Precompiled(model.char_map)] if model.char_map else []
     if model.trim:
         steps += [normalizers.Replace(" {2,}", " "), normalizers.Strip()]
@@ -136,6 +137,8 @@ def piece_bytes(model: Model) -> list[bytes]:
 
 
 def decoded(ids: list[int], table: list[bytes], dummy_prefix: bool) -> str:
+    if ids and not (0 <= min(ids) and max(ids) < len(table)):
+        raise ValueError(f"ids must lie between 0 and {len(table) - 1}: {min(ids)}, {max(ids)}")
     raw = b"".join([table[i] for i in ids])
     return (raw[1:] if dummy_prefix and raw[:1] == b" " else raw).decode("utf-8", "replace")
 
@@ -239,7 +242,7 @@ def encode(docs: DataFrame, model: bytes, key: str = "doc_id", text: str = "text
 
 
 def decode(tokens: DataFrame, model: bytes, key: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """(doc_id, text) from ids. Null ids give a null text; ids outside the model raise."""
+    """(doc_id, text) from ids. Null ids give a null text; ids outside the model, negative ones too, raise a ValueError."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model.parse(model)

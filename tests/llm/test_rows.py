@@ -9,7 +9,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from scorepipe.llm import common, decontaminate, licenses, render, simhash, suffix
+from scorepipe.llm import common, decontaminate, licenses, outliers, pieces, render, simhash, suffix
 
 DOCS = "doc_id BIGINT, text STRING, lang STRING, source STRING, name STRING, fp INT"
 
@@ -142,3 +142,61 @@ def test_votes_without_the_words_are_refused(spark):
     name = found.first()["name"]
     wrong = licenses.verified(found.withColumn("name", common.text_name("label")), moved.withColumn("text", F.lit("bsd")))
     assert name is not None and wrong.first()["coverage"] == 0.0
+
+
+# outliers
+
+
+def test_each_statistic_rejects_by_itself(spark):
+    rng = np.random.default_rng(2)
+    plain = [passage(100 + i, 120) for i in range(200)]
+    lines = ["\n".join(passage(500 + 9 * i + j, 12) for j in range(9)) for i in range(40)]
+    odd = {
+        "word_length": " ".join(w * 2 for w in plain[0].split()),
+        "symbols": " ".join(w + rng.choice(["#", "$", "%"]) for w in plain[1].split()),
+        "dup_lines": "\n".join([passage(900, 4)] * 1 + ["aaaaaa bbbbbb"] * 12 + ["cccccc dddddd"] * 12),
+        "repeats": " ".join([passage(901, 100), passage(902, 10), passage(903, 20), passage(902, 10)]),
+    }
+    rows = list(enumerate([*plain, *lines, *odd.values()], 1))
+    docs = docs_of(spark, rows)
+    found = {r["doc_id"]: r for r in outliers.quality_rules(docs).collect()}
+    only = dict(zip(odd, range(len(plain) + len(lines) + 1, len(rows) + 1)))
+    for name, i in only.items():
+        if name in ("dup_lines", "repeats"):  # short windows or few lines fail the base rules or stay below them
+            continue
+        assert not found[i]["base_failed"] and not found[i]["kept"], name
+    assert sum(found[i]["kept"] for i in range(1, len(plain) + len(lines) + 1)) >= 0.97 * (len(plain) + len(lines))
+    floors = np.array([floor for _, floor in outliers.RATES])
+    reach = np.array([np.inf, np.inf, 1.0, np.sqrt(outliers.MOST_REPEATED / 100)])  # the largest value a sound row can have
+    assert ((reach / floors) ** 2 > outliers.CUTOFF).all()
+
+
+def test_quantiles_and_consistency():
+    assert abs(outliers.chi_square_quantile(0.95, 4) - 9.487729) < 1e-5 and abs(outliers.CUTOFF - 18.466827) < 1e-5
+    x = np.random.default_rng(3).normal(size=(200_000, 4))
+    d = (x**2).sum(1)
+    inner = x[d <= np.quantile(d, outliers.NEAREST)]
+    assert abs(outliers.consistency(outliers.NEAREST) * inner.var() - 1) < 0.01
+
+
+def test_lines_and_windows_reject(spark):
+    plain = [passage(100 + i, 120).replace(" ", "\n", 8) for i in range(200)]
+    many = "\n".join([passage(900, 60).replace(" ", "\n"), *["tail"] * 0])
+    dup = "\n".join([*(passage(950 + j, 30) for j in range(3)), *["ab"] * 18])  # most lines repeat, few words do
+    windows = " ".join([passage(904, 90), passage(905, 12), passage(906, 8), passage(905, 12)])
+    rows = list(enumerate([*plain, many, dup, windows], 1))
+    found = {r["doc_id"]: r for r in outliers.quality_rules(docs_of(spark, rows)).collect()}
+    assert found[202]["n_dup_lines"] == 17 and not found[202]["kept"]
+    assert found[203]["n_repeat_words"] == 24 and not found[203]["base_failed"] and not found[203]["kept"]
+
+
+# tokens
+
+
+def test_ids_outside_the_model_raise(spark):
+    model = pieces.read_model()
+    for ids in ([-1, 5], [10**6]):
+        with pytest.raises(Exception, match="ids must lie between"):
+            pieces.decode(spark.createDataFrame([(1, ids)], "doc_id BIGINT, ids ARRAY<INT>"), model).collect()
+    found = pieces.decode(spark.createDataFrame([(1, None), (2, [])], "doc_id BIGINT, ids ARRAY<INT>"), model).collect()
+    assert {r["doc_id"]: r["text"] for r in found} == {1: None, 2: ""}
