@@ -10,6 +10,7 @@ exact integers: the estimates do not depend on how the rows are dealt.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,17 +30,41 @@ SCALE = 10_000
 NEAREST = 0.75
 STEPS = 4
 LEAST_ROWS = 25
-CUTOFF = 40.0
-"""Squared distance beyond which a row is an outlier; the chi-square quantile at four degrees is 0.99999996."""
-RATES = [("word_length", 0.5), ("symbols", 0.15), ("dup_lines", 0.15), ("repeats", 0.15)]
-"""Transformed statistics with the least standard deviation that counts: most texts have none of the last three at all."""
+RATES = [("word_length", 0.5), ("symbols", 0.1), ("dup_lines", 0.2), ("repeats", 0.1)]
+"""Transformed statistics with the least standard deviation that counts: most texts have none of the last three at all.
+Every statistic can reach the cut-off by itself at these."""
+
+
+def chi_square(x: float, degrees: int) -> float:
+    """Share of a chi-square distribution below x, for an even number of degrees."""
+    return 1 - math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(degrees // 2))
+
+
+def chi_square_quantile(share: float, degrees: int) -> float:
+    low, high = 0.0, 1e4
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if chi_square(mid, degrees) < share else (low, mid)
+    return high
+
+
+CUTOFF = chi_square_quantile(0.999, len(RATES))
+"""Squared distance beyond which a row is an outlier: this quantile at four degrees, 18.5."""
+
+
+def consistency(nearest: float) -> float:
+    """What the covariance of the nearest share of normal rows is multiplied by to be that of all of them."""
+    p = len(RATES)
+    return nearest / chi_square(chi_square_quantile(nearest, p), p + 2)
+
+
 GROUP = ["lang", "source"]
 FITTED = ["level", *GROUP]
 """Names of an estimate: see ``levels``; what a level does not tell apart is empty."""
 
 
 def counts(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words)."""
+    """(doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines)."""
     k = WINDOW_WORDS
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in GROUP], text.alias("text"))
@@ -50,7 +75,7 @@ def counts(docs: DataFrame) -> DataFrame:
     at = F.when(F.size("w") >= k, F.sequence(F.lit(0), F.size("w") - k)).otherwise(F.array().cast("array<int>"))
     rows = rows.select(
         "doc_id", *GROUP, "n_symbols", F.size("w").cast("bigint").alias("n_words"), F.char_length(F.array_join("w", "")).cast("bigint").alias("word_chars"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"), F.size("lines").cast("bigint").alias("n_lines"),
         F.transform(at, lambda i: F.xxhash64(*[F.get(F.col("w"), i + j) for j in range(k)])).alias("h"),
         F.length(F.bin(F.size("w"))).alias("bits"),
     )
@@ -65,7 +90,7 @@ def counts(docs: DataFrame) -> DataFrame:
     some = some.withColumn("p", F.sort_array(F.transform(same, lambda x: x["p"])))
     fresh = F.transform("p", lambda p, j: F.least(F.lit(k), F.coalesce(F.get("p", j + 1) - p, F.lit(k))))
     covered = F.aggregate(fresh, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return some.select("doc_id", *GROUP, "n_words", "word_chars", "n_symbols", "n_dup_lines", covered.alias("n_repeat_words"))
+    return some.select("doc_id", *GROUP, "n_words", "word_chars", "n_symbols", "n_dup_lines", covered.alias("n_repeat_words"), "n_lines")
 
 
 def _pack(h: Column, i: Column) -> Column:
@@ -83,13 +108,14 @@ def _low(x: Column) -> Column:
 def rates(counted: DataFrame) -> DataFrame:
     """Adds base_failed and the transformed statistics x0.. as integers of 1 / SCALE."""
     n = F.greatest("n_words", F.lit(1)).cast("double")
-    values = [F.col("word_chars") / n, F.sqrt(F.col("n_symbols") / n), F.sqrt(F.col("n_dup_lines") / n), F.sqrt(F.col("n_repeat_words") / n)]
+    values = [F.col("word_chars") / n, F.sqrt(F.col("n_symbols") / n), F.sqrt(F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1))), F.sqrt(F.col("n_repeat_words") / n)]
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     return counted.select("*", failed.alias("base_failed"), *[F.round(v * SCALE).cast("bigint").alias(f"x{i}") for i, v in enumerate(values)])
 
 
-def moments(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Mean m0.. and the lower triangle l00, l10, l11.. of the Cholesky factor of the covariance, per group and start."""
+def moments(rows: DataFrame, keys: list[str], factor: float = 1.0) -> DataFrame:
+    """Mean m0.. and the lower triangle l00, l10, l11.. of the Cholesky factor of the covariance times ``factor``, per
+    group and start; a variance is the least one that counts at least."""
     p = range(len(RATES))
     wide = "decimal(38,0)"
     sums = [F.sum(F.col(f"x{i}").cast(wide)).alias(f"s{i}") for i in p]
@@ -97,9 +123,12 @@ def moments(rows: DataFrame, keys: list[str]) -> DataFrame:
     n = F.col("n").cast("double")
     out = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *sums)
     mean = [F.col(f"s{i}").cast("double") / n / SCALE for i in p]
-    out = out.select(*keys, "n", *[m.alias(f"m{i}") for i, m in enumerate(mean)], *[
-        (F.col(f"q{i}{j}").cast("double") / n / SCALE / SCALE - mean[i] * mean[j] + (F.lit(RATES[i][1] ** 2) if i == j else F.lit(0.0))).alias(f"c{i}{j}") for i in p for j in range(i + 1)
-    ])
+
+    def covariance(i, j):
+        c = factor * (F.col(f"q{i}{j}").cast("double") / n / SCALE / SCALE - mean[i] * mean[j])
+        return (F.greatest(c, F.lit(RATES[i][1] ** 2)) if i == j else c).alias(f"c{i}{j}")
+
+    out = out.select(*keys, "n", *[m.alias(f"m{i}") for i, m in enumerate(mean)], *[covariance(i, j) for i in p for j in range(i + 1)])
     return factored(out, keys)
 
 
@@ -168,7 +197,7 @@ def middle_start(rows: DataFrame) -> DataFrame:
     away = long.join(middle, [*FITTED, "i"]).withColumn("bucket", grid(F.abs(F.col("x") / SCALE - F.col("m"))))
     spread = quantile_bucket(away, [*FITTED, "i"], 0.5).select(*FITTED, "i", (1.4826 * F.pow(F.lit(2.0), (F.col("cut") + 1) / 16)).alias("d"))
     both = middle.join(spread, [*FITTED, "i"]).groupBy(*FITTED).agg(*[F.max(F.when(F.col("i") == i, F.col(c))).alias(f"{c}{i}") for i in p for c in ("m", "d")])
-    cells = [(F.pow(F.col(f"d{i}"), 2) + RATES[i][1] ** 2 if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i in p for j in range(i + 1)]
+    cells = [(F.greatest(F.pow(F.col(f"d{i}"), 2), F.lit(RATES[i][1] ** 2)) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i in p for j in range(i + 1)]
     return factored(both.select(*FITTED, F.lit(1).alias("start"), F.lit(0).cast("bigint").alias("n"), *[f"m{i}" for i in p], *cells), [*FITTED, "start"])
 
 
@@ -179,7 +208,7 @@ def covariances(rows: DataFrame, nearest: float = NEAREST, steps: int = STEPS) -
     for _ in range(steps):
         placed = rows.join(now, FITTED).select(*keys, *[f"x{i}" for i in range(len(RATES))], grid(distance()).alias("bucket"))
         cut = quantile_bucket(placed, keys, nearest)
-        now = common.settled(moments(placed.join(cut, keys).filter("bucket <= cut"), keys))
+        now = common.settled(moments(placed.join(cut, keys).filter("bucket <= cut"), keys, consistency(nearest)))
     best = Window.partitionBy(*FITTED).orderBy("log_det", "start")
     return now.withColumn("place", F.row_number().over(best)).filter("place = 1").drop("place", "start", "n")
 
