@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorepipe.functions.columns import quoted
-from scorepipe.session import shared_dir
+from scorepipe.sources.tables import settled
 
 MAX_BINS = 256
 BLOCK_ROWS = 1 << 16
@@ -281,12 +281,6 @@ def binned(df: DataFrame, features: list[str], label: str, cuts: list[np.ndarray
     return settled(rows.mapInArrow(pack, "n INT, bins BINARY, label BINARY, fold BINARY"))
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """Written to the shared folder and read again: iterations neither repeat nor lose it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def _block(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = batch.column("n")[i].as_py()
     read = [np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in (("bins", np.uint8), ("label", np.int32), ("fold", np.int32))]

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorepipe.functions.columns import long_form, quoted, ratio
+from scorepipe.operators.isotonic import calibrated, isotonic_blocks
 from scorepipe.operators.ordered import running_counts
 
 
@@ -43,8 +41,8 @@ def lift_table(df: DataFrame, label: str, score: str, parts: int = 10, by: list[
 
 
 def score_bin(score: Column, bins: int) -> Column:
-    """Bin 0.. of a probability, all of the same width."""
-    return F.least(F.lit(bins - 1), F.floor(score * bins)).cast("int")
+    """Bin 0.. of a probability, all of the same width; what lies outside the unit interval goes to the outer bins."""
+    return F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.floor(score * bins))).cast("int")
 
 
 def reliability(df: DataFrame, label: str, score: str, bins: int = 10, by: list[str] = ()) -> DataFrame:
@@ -59,10 +57,17 @@ def reliability(df: DataFrame, label: str, score: str, bins: int = 10, by: list[
     )
 
 
-def calibrate(df: DataFrame, label: str, score: str):
+def calibrate(df: DataFrame, label: str, score: str) -> Calibration:
     """A fitted isotonic map from scores to probabilities; `transform` adds `calibrated`."""
-    stages = [VectorAssembler(inputCols=[score], outputCol="_score"), IsotonicRegression(featuresCol="_score", labelCol=label, predictionCol="calibrated")]
-    return Pipeline(stages=stages).fit(df)
+    return Calibration(isotonic_blocks(df, label, score), score)
+
+
+class Calibration:
+    def __init__(self, blocks: DataFrame, score: str):
+        self.blocks, self.score = blocks, score
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return calibrated(df, self.blocks, self.score)
 
 
 def stability(expected: DataFrame, actual: DataFrame, score: str, bins: int = 10, least: float = 1e-4) -> DataFrame:
@@ -74,7 +79,7 @@ def stability(expected: DataFrame, actual: DataFrame, score: str, bins: int = 10
     base = expected.sparkSession.range(1).select(grid)
 
     def shares(df, name):
-        n = df.filter(quoted(score).isNotNull()).groupBy(score_bin(quoted(score), bins).alias("bin")).agg(F.count(F.lit(1)).alias("k"))
+        n = df.filter(quoted(score).isNotNull() & ~F.isnan(quoted(score))).groupBy(score_bin(quoted(score), bins).alias("bin")).agg(F.count(F.lit(1)).alias("k"))
         share = ratio(F.col("k"), F.sum("k").over(Window.partitionBy()))  # over the bins, not the rows
         return base.join(n, "bin", "left").select("bin", F.greatest(F.coalesce(share, F.lit(0.0)), F.lit(least)).alias(name))
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
+from scorepipe.session import shared_dir
+
 
 def table_name(name: str, schema: str | None = None, catalog: str | None = None) -> str:
     """One resolver for all spellings: `table`, `schema.table`, `catalog.schema.table`.
@@ -127,6 +129,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """Written to the shared folder and read again: iterations neither repeat nor lose what is done."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def dealt(df: DataFrame, cols: list[str]) -> DataFrame:
     """Rows dealt by the hash of their values and sorted, so that a fit which samples within partitions sees
     the same partitions however the rows arrived. The number of partitions is the session's, whatever the size.
