@@ -1,9 +1,9 @@
 """Global order without a one-task window.
 
-Every operator here cuts the key range into buckets with fixed boundaries, reduces the data to small
-per-bucket totals, and sorts only inside buckets. Boundaries steer the balance of the tasks and
-never the result, so approximate quantiles are good enough for them. They are literals of the plan:
-a recomputed task meets the same buckets again.
+Every operator here cuts the key range into buckets, reduces the data to small per-bucket totals, and sorts only
+inside buckets. Boundaries steer the balance of the tasks and never the result, so approximate quantiles are good
+enough for them. They are literals of the plan or written with the rows: a recomputed task meets the same buckets
+again. The number of buckets follows the rows.
 """
 
 from __future__ import annotations
@@ -16,10 +16,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorepipe.functions.columns import quoted
-from scorepipe.functions.keyed import hash_bucket, hash_key
+from scorepipe.functions.keyed import hash_key
+from scorepipe.sources.tables import settled
 
 MAX_BUCKETS = 4096
 MAX_CLASSES = 1000
+RANGE_ROWS = 1 << 18
+"""Rows of a sorted range that one task ranks; the number of ranges follows the rows."""
+OFFSET_ROWS = 4096
+"""Buckets whose sums one window adds up."""
+LITERAL_CUTS = 64
+"""Cuts up to this many become literals of the plan."""
+BROADCAST_ROWS = 10_000
+"""Tables of cuts and offsets up to this many rows are broadcast; larger ones are joined by a shuffle."""
 
 
 def bucket_target(df: DataFrame) -> int:
@@ -43,6 +52,39 @@ def with_range_bucket(df: DataFrame, col: str, bounds: list[float], out: str) ->
     return Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(df)
 
 
+def range_buckets(df: DataFrame, cols: list[str], out: str, buckets: int | None = None, rows_each: int = RANGE_ROWS) -> DataFrame:
+    """Add bucket numbers that grow with the columns' order, of about ``rows_each`` rows; as many as the rows need.
+
+    The buckets are the ranges of a sort, written with the rows, so every later step meets the same ones.
+    """
+    buckets = buckets or -(-df.count() // rows_each)
+    if buckets <= 1:
+        return df.withColumn(out, F.lit(0))
+    return settled(df.repartitionByRange(buckets, *[quoted(c) for c in cols]).withColumn(out, F.spark_partition_id()))
+
+
+def offsets_before(totals: DataFrame, by: list[str], at: str, values: list[str], width: int = OFFSET_ROWS) -> DataFrame:
+    """(by..., at, values...): of each bucket ``at`` (a whole number, one row per group) the sums over the group's lower buckets.
+
+    A window holds at most ``width`` buckets. More are summed by their hundreds or thousands first, those sums again
+    in the same way, and a bucket adds what lies before its own thousand.
+    """
+    top = totals.agg(F.max(at)).first()[0]
+    within = Window.partitionBy(*by, F.floor(F.col(at) / width)).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    sums = [F.coalesce(F.sum(v).over(within), F.lit(0)).alias(v) for v in values]
+    inside = totals.select(*by, F.col(at), *sums)
+    if top is None or top < width:
+        return inside
+    up = at + "_up"
+    upper = totals.groupBy(*by, F.floor(F.col(at) / width).alias(up)).agg(*[F.sum(v).alias(v) for v in values])
+    before = offsets_before(settled(upper), by, up, values, width)
+    before = before.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(by)], up, *[F.col(v).alias(f"_up_{v}") for v in values])
+    same = F.floor(F.col(at) / width) == F.col(up)
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_{i}"))
+    return inside.join(before, same).select(*by, at, *[(F.col(v) + F.col(f"_up_{v}")).alias(v) for v in values])
+
+
 def _null_safe(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
     cond = F.lit(True)
     for c in cols:
@@ -65,13 +107,13 @@ def running_counts(df: DataFrame, label: str, score: str, by: list[str] = (), bu
     rows = df.filter(quoted(label).isNotNull() & quoted(score).isNotNull()).select(
         *[quoted(c) for c in by], s.alias("score"), y.alias("_y")
     )
-    bounds = range_bounds(rows, "score", buckets)
     counts = rows.groupBy(*by, "score").agg(
         F.sum((F.col("_y") == 1).cast("bigint")).alias("n_pos"),
         F.sum((F.col("_y") != 1).cast("bigint")).alias("n_neg"),
     )
-    counts = with_range_bucket(counts, "score", bounds, "bucket")
+    counts = range_buckets(settled(counts), [*by, "score"], "bucket", buckets)
 
+    # one row for each range of 2^18 scores
     per_bucket = counts.groupBy(*by, "bucket").agg(
         F.sum("n_pos").alias("b_pos"),
         F.sum("n_neg").alias("b_neg"),
@@ -106,22 +148,22 @@ def running_counts(df: DataFrame, label: str, score: str, by: list[str] = (), bu
     )
 
 
-def dense_index(df: DataFrame, key: str, seed: int | str, out: str = "idx") -> DataFrame:
+def dense_index(df: DataFrame, key: str, seed: int | str, out: str = "idx", rows_each: int = RANGE_ROWS) -> DataFrame:
     """Add 0..n-1 in hash order of the key (which must be unique).
 
-    Offsets come from at most 4,096 bucket counts; that bound is what allows the broadcast.
+    The leading digits of the hash are the bucket, as many as keep a bucket at about ``rows_each`` rows.
     """
-    hashed = df.withColumn("_h", hash_key(seed, quoted(key))).withColumn("_b", hash_bucket(F.col("_h")))
-    sizes = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    digits, n = 0, df.count()
+    while n > rows_each * 16**digits:
+        digits += 1
+    at = F.conv(F.substring(F.col("_h"), 1, digits), 16, 10).cast("bigint") if digits else F.lit(0).cast("bigint")
+    hashed = df.withColumn("_h", hash_key(seed, quoted(key))).withColumn("_b", at)
+    sizes = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_off"))
+    offsets = offsets_before(settled(sizes) if digits else sizes, [], "_b", ["_off"])
+    side = F.broadcast(offsets) if 16**digits <= BROADCAST_ROWS else offsets
     inside = Window.partitionBy("_b").orderBy("_h", quoted(key))
     ranked = hashed.withColumn("_rn", F.row_number().over(inside))
-    return (
-        ranked.join(F.broadcast(offsets), "_b")
-        .withColumn(out, F.col("_off") + F.col("_rn") - 1)
-        .drop("_b", "_h", "_rn", "_off")
-    )
+    return ranked.join(side, "_b").withColumn(out, F.col("_off") + F.col("_rn") - 1).drop("_b", "_h", "_rn", "_off")
 
 
 def class_sizes(df: DataFrame, label: str | None) -> dict[object, int]:
@@ -133,21 +175,19 @@ def class_sizes(df: DataFrame, label: str | None) -> dict[object, int]:
     return {r["g"]: r["n"] for r in rows}
 
 
-def order_cuts(
+def cut_table(
     df: DataFrame, label: str | None, order: list[Column], buckets: list[Column],
-    ranks: Callable[[Column, Column], list[Column]], rank_rows: int = 2_000_000,
-) -> dict[object, list[tuple | None]]:
-    """Order keys at given ranks of each class: {class: [key of each rank]}.
+    ranks: Callable[[Column, Column], list[Column]] | DataFrame, rank_rows: int = 2_000_000,
+) -> DataFrame:
+    """(g, cut, k0, ...): the order keys at given ranks of each class, a row per class and rank above 0.
 
-    `ranks(class, class size)` lists the wanted 1-based ranks as columns; rank 0 has no key (None).
-    `buckets` are ever finer parts of the order.
+    ``ranks(class, class size)`` lists the wanted 1-based ranks as columns; or they come as a frame (g, wants), an
+    array for each class. ``buckets`` are ever finer parts of the order.
 
-    Scans of the key columns and no sort of the data: bucket counts locate the bucket that holds a
-    rank, finer buckets are counted only inside located ones that hold more than `rank_rows` rows,
-    and only the rows of the last located bucket are ranked. What reaches the driver is one row
-    per class and rank, and a label with more than MAX_CLASSES values is refused.
+    Scans of the key columns and no sort of the data: bucket counts locate the bucket that holds a rank, finer
+    buckets are counted only inside located ones that hold more than ``rank_rows`` rows, and only the rows of the
+    last located bucket are ranked. Nothing grows on the driver, however many classes there are.
     """
-    spark = df.sparkSession
     g = F.lit(0) if label is None else quoted(label)
     keys = [f"k{i}" for i in range(len(order))]
     levels = [f"b{i}" for i in range(len(buckets))]
@@ -159,48 +199,77 @@ def order_cuts(
     cum = sizes.select(
         "g", "b0", "n", F.sum("n").over(per_class.orderBy("b0")).alias("upto"), F.sum("n").over(per_class).alias("total")
     )
-    wanted = ranks(F.col("g"), F.col("total"))
+    if isinstance(ranks, DataFrame):
+        wants = ranks.select(F.col("g").alias("wg"), "wants")
+        cum = cum.join(wants, F.col("g").eqNullSafe(F.col("wg")))
+    else:
+        cum = cum.withColumn("wants", F.array(*[r.cast("bigint") for r in ranks(F.col("g"), F.col("total"))]))
     before = F.col("upto") - F.col("n")
-    hits = (
-        cum.select("*", F.posexplode(F.array(*[r.cast("bigint") for r in wanted])).alias("cut", "want"))
-        # rank 0 is listed once per class, with its first bucket
-        .filter(((F.col("want") > before) & (F.col("want") <= F.col("upto"))) | ((F.col("want") == 0) & (before == 0)))
-        .select("g", "b0", "cut", (F.col("want") - before).alias("rn"), "n")
-    )
-    limit = MAX_CLASSES * len(wanted) + 1
-    located = hits.limit(limit).collect()
-    if len(located) == limit:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
-    cuts: dict[object, list[tuple | None]] = {r["g"]: [None] * len(wanted) for r in located}
-    kinds = dict(rows.dtypes)
+    held = (F.col("want") > before) & (F.col("want") <= F.col("upto"))
+    hits = cum.select("*", F.posexplode("wants").alias("cut", "want")).filter(held)
+    hits = settled(hits.select("g", "b0", "cut", (F.col("want") - before).alias("rn"), "n"))
 
     def members(found, level):
-        """Rows of the located buckets, once per cut they serve; the table is bounded by `limit`."""
-        small = spark.createDataFrame([tuple(r)[:4] for r in found], f"pg {kinds['g']}, pb {kinds[level]}, cut INT, rn BIGINT")
-        return rows.join(F.broadcast(small), F.col("g").eqNullSafe(F.col("pg")) & (F.col(level) == F.col("pb")))
-
-    todo, level = [r for r in located if r["rn"] > 0], 0
-    while todo:
-        crowded = [r for r in todo if r["n"] > rank_rows] if level + 1 < len(levels) else []
-        ready = [r for r in todo if r not in crowded]
-        if ready:
-            place = F.row_number().over(Window.partitionBy("g", "cut").orderBy(*keys))
-            placed = members(ready, levels[level]).withColumn("place", place).filter(F.col("place") == F.col("rn"))
-            for r in placed.select("g", "cut", *keys).collect():
-                cuts[r["g"]][r["cut"]] = tuple(r[k] for k in keys)
-        if crowded:
-            fine = levels[level + 1]
-            counted = members(crowded, levels[level]).groupBy("g", "cut", "rn", fine).agg(F.count(F.lit(1)).alias("n"))
-            upto = F.sum("n").over(Window.partitionBy("g", "cut").orderBy(fine))
-            crowded = (
-                counted.withColumn("upto", upto)
-                .filter((F.col("rn") > before) & (F.col("rn") <= F.col("upto")))
-                .select("g", fine, "cut", (F.col("rn") - before).alias("rn"), "n").collect()
-            )
-        todo, level = crowded, level + 1
+        """Rows of the located buckets, once per cut they serve."""
+        small = found.select(F.col("g").alias("pg"), F.col(level).alias("pb"), "cut", "rn")
+        small = F.broadcast(small) if found.count() <= BROADCAST_ROWS else small
+        return rows.join(small, F.col("g").eqNullSafe(F.col("pg")) & (F.col(level) == F.col("pb")))
+
+    out = None
+    for level, name in enumerate(levels):
+        finer = levels[level + 1] if level + 1 < len(levels) else None
+        ready = hits.filter(F.col("n") <= rank_rows) if finer else hits
+        place = F.row_number().over(Window.partitionBy("g", "cut").orderBy(*keys))
+        placed = members(ready, name).withColumn("place", place).filter(F.col("place") == F.col("rn")).select("g", "cut", *keys)
+        out = placed if out is None else out.unionByName(placed)
+        crowded = hits.filter(F.col("n") > rank_rows)
+        if finer is None or not crowded.take(1):
+            break
+        counted = members(crowded, name).groupBy("g", "cut", "rn", finer).agg(F.count(F.lit(1)).alias("n"))
+        counted = counted.withColumn("upto", F.sum("n").over(Window.partitionBy("g", "cut").orderBy(finer)))
+        located = counted.filter((F.col("rn") > before) & (F.col("rn") <= F.col("upto")))
+        hits = settled(located.select("g", finer, "cut", (F.col("rn") - before).alias("rn"), "n"))
+    return settled(out)
+
+
+def order_cuts(
+    df: DataFrame, label: str | None, order: list[Column], buckets: list[Column],
+    ranks: Callable[[Column, Column], list[Column]], rank_rows: int = 2_000_000,
+) -> dict[object, list[tuple | None]]:
+    """`cut_table` as {class: [key of each rank]} for a label with few classes; rank 0 has no key (None)."""
+    sizes = class_sizes(df, label)
+    keys = [f"k{i}" for i in range(len(order))]
+    n = len(ranks(F.lit(0), F.lit(0)))
+    cuts: dict[object, list[tuple | None]] = {c: [None] * n for c in sizes}
+    for r in cut_table(df, label, order, buckets, ranks, rank_rows).collect():
+        cuts[r["g"]][r["cut"]] = tuple(r[k] for k in keys)
     return cuts
 
 
+def parts_by_cuts(df: DataFrame, label: str, order: list[Column], cuts: DataFrame, n: int, out: str) -> DataFrame:
+    """Add the number of the first cut of its class at or after each row, n past the last one.
+
+    Few cuts become literals. More are joined by class, broadcast while the table is small, so that the rows are not shuffled.
+    """
+    few = cuts.limit(LITERAL_CUTS + 1).collect()
+    if len(few) <= LITERAL_CUTS:
+        part = F.lit(n)
+        for r in sorted(few, key=lambda r: -r["cut"]):
+            part = F.when(quoted(label).eqNullSafe(F.lit(r["g"])) & at_or_before(order, tuple(r)[2:]), r["cut"]).otherwise(part)
+        return df.withColumn(out, part)
+    keys = [f"k{i}" for i in range(len(order))]
+    key = F.struct(*keys)
+    wide = cuts.groupBy(F.col("g").alias("_g")).agg(*[F.max(F.when(F.col("cut") == i, key)).alias(f"_c{i}") for i in range(n)])
+    wide = settled(wide)
+    side = F.broadcast(wide) if wide.count() <= BROADCAST_ROWS else wide
+    own = F.struct(*[c.alias(k) for c, k in zip(order, keys)])
+    part = F.lit(n)
+    for i in reversed(range(n)):
+        part = F.when(own <= F.col(f"_c{i}"), i).otherwise(part)
+    joined = df.join(side, quoted(label).eqNullSafe(F.col("_g")), "left")
+    return joined.select(*[quoted(c) for c in df.columns], part.alias(out))
+
+
 def at_or_before(order: list[Column], cut: tuple) -> Column:
     """Lexicographic `order <= cut`."""
     cond = order[-1] <= F.lit(cut[-1])

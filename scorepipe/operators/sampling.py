@@ -1,8 +1,8 @@
 """Joining by key, exact splits and folds, class balancing.
 
-Split and folds follow the fit / transform pattern: the few order keys that separate the parts are
-found on the executors (`order_cuts`) and become literals, so assigning the parts is a projection
-and the rows themselves are never shuffled or sorted.
+Split and folds follow the fit / transform pattern: the order keys that separate the parts of each class are
+found on the executors (`cut_table`) and joined by class, or become literals where there are no classes. While
+that table is small it is broadcast, and the rows themselves are neither shuffled nor sorted.
 """
 
 from __future__ import annotations
@@ -16,14 +16,16 @@ from pyspark.sql import types as T
 from scorepipe.functions.columns import quoted
 from scorepipe.functions.keyed import hash_buckets, hash_int, hash_key, unit
 from scorepipe.operators.neighbors import kept_neighbors
+from scorepipe.sources.tables import settled
 from scorepipe.operators.ordered import (
-    MAX_CLASSES,
     at_or_before,
     class_sizes,
+    cut_table,
     dense_index,
+    offsets_before,
     order_cuts,
-    range_bounds,
-    with_range_bucket,
+    parts_by_cuts,
+    range_buckets,
 )
 
 
@@ -48,12 +50,9 @@ def stratified_split(df: DataFrame, label: str, key: str, test_frac: float = 0.3
     hashed = hash_key(seed, quoted(key))
     order = [hashed, quoted(key)]
     share = F.lit(float(test_frac))
-    cuts = order_cuts(df, label, order, hash_buckets(hashed), lambda _, n: [F.floor(share * n + F.lit(0.5).cast("double"))])
-    test = F.lit(False)
-    for c, (cut,) in cuts.items():
-        if cut is not None:
-            test = test | (quoted(label).eqNullSafe(F.lit(c)) & at_or_before(order, cut))
-    return df.withColumn(out, F.when(test, "test").otherwise("train"))
+    cuts = cut_table(df, label, order, hash_buckets(hashed), lambda _, n: [F.floor(share * n + F.lit(0.5).cast("double"))])
+    parts = parts_by_cuts(df, label, order, cuts, 1, "_part")
+    return parts.withColumn(out, F.when(F.col("_part") == 0, "test").otherwise("train")).drop("_part")
 
 
 def _fold_column(order: list[Column], cuts: list[tuple | None]) -> Column:
@@ -85,30 +84,23 @@ def stratified_kfold(df: DataFrame, label: str, key: str, k: int = 5, out: str =
     Run lengths follow the usual allocation: with the classes laid end to end, in order of first
     appearance, fold i takes every k-th place starting at i.
     """
-    rows = df.groupBy(quoted(label).alias("g")).agg(F.count(F.lit(1)).alias("n"), F.min(quoted(key)).alias("first"))
-    found = rows.limit(MAX_CLASSES + 1).collect()
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
-    ends, start = {}, 0
-    for r in sorted(found, key=lambda r: r["first"]):
-        end = start + r["n"]
-        held = [len(range(start + (i - start) % k, end, k)) for i in range(k)]
-        ends[r["g"]] = [sum(held[: i + 1]) for i in range(k - 1)]
-        start = end
-
-    def of_class(g, _):
-        out = [F.lit(0)] * (k - 1)
-        for c, e in ends.items():
-            out = [F.when(g.eqNullSafe(F.lit(c)), e[i]).otherwise(out[i]) for i in range(k - 1)]
-        return out
-
-    bounds = range_bounds(df, key)
-    bucketed = with_range_bucket(df.withColumn("_k", quoted(key).cast("double")), "_k", bounds, "_b")
-    order = [quoted(key)]
-    fold = F.lit(None).cast("int")
-    for c, edges in order_cuts(bucketed, label, order, [F.col("_b")], of_class).items():
-        fold = F.when(quoted(label).eqNullSafe(F.lit(c)), _fold_column(order, edges)).otherwise(fold)
-    return df.withColumn(out, fold)
+    keys = df.select(quoted(label).alias("g"), quoted(key).alias("k"))
+    classes = settled(keys.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("first")))
+    ranged = range_buckets(classes, ["first"], "b")
+    before = offsets_before(ranged.groupBy("b").agg(F.sum("n").alias("off")), [], "b", ["off"])
+    upto = Window.partitionBy("b").orderBy("first", "g").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = ranged.withColumn("end", F.sum("n").over(upto)).join(before, "b").withColumn("end", F.col("off") + F.col("end"))
+    start = F.col("end") - F.col("n")
+
+    def places(i: int) -> Column:
+        """Places up to fold i of a class's stretch: those that leave a remainder of at most i by k."""
+        held = [F.floor((F.col("end") - 1 - j) / k) - F.floor((start - 1 - j) / k) for j in range(i + 1)]
+        return reduce(lambda a, b: a + b, held).cast("bigint")
+
+    wants = settled(ends.select("g", F.array(*[places(i) for i in range(k - 1)]).alias("wants")))
+    bucketed = range_buckets(keys, ["g", "k"], "b")
+    cuts = cut_table(bucketed, "g", [F.col("k")], [F.col("b")], wants)
+    return parts_by_cuts(df, label, [quoted(key)], cuts, k - 1, out)
 
 
 def fold_frames(df: DataFrame, i: int, fold: str = "fold") -> tuple[DataFrame, DataFrame]:

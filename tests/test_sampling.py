@@ -1,3 +1,6 @@
+import hashlib
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -5,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from scorepipe.operators import neighbors, sampling
+from scorepipe.operators import neighbors, ordered, sampling
 from scorepipe.operators.ordered import dense_index
 
 
@@ -147,3 +150,59 @@ def test_smote_copies_and_too_few(spark):
     assert (got.y == 1).sum() == 40
     with pytest.raises(ValueError, match="neighbours"):
         sampling.smote(df.filter("id < 3 OR id >= 20"), "y", "id", ["a"])
+
+
+def brute_split(rows, frac=0.3, seed=100):
+    """Keys of the test part: of each class the first in md5 order."""
+    by = {}
+    for y, k in rows:
+        by.setdefault(y, []).append(k)
+    out = set()
+    for keys in by.values():
+        keys.sort(key=lambda k: (hashlib.md5(f"{seed}:{k}".encode()).hexdigest(), k))
+        out |= set(keys[: math.floor(frac * len(keys) + 0.5)])
+    return out
+
+
+def brute_folds(rows, k=5):
+    """Classes laid end to end by their first key; place p of all goes to fold p mod k, each class in key order."""
+    by = {}
+    for y, key in rows:
+        by.setdefault(y, []).append(key)
+    out, start = {}, 0
+    for y in sorted(by, key=lambda y: min(by[y])):
+        held = [sum((start + j) % k == i for j in range(len(by[y]))) for i in range(k)]
+        folds = [i for i in range(k) for _ in range(held[i])]
+        out.update(zip(sorted(by[y]), folds))
+        start += len(by[y])
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [10_000, 0])
+def test_more_classes_than_any_literal_and_keys_of_text(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(ordered, "BROADCAST_ROWS", broadcast)
+    rows = [(f"class {i % 1201}" if i % 1201 else None, f"key {i * 7919 % 100_003:06d}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "y STRING, id STRING")
+    split = sampling.stratified_split(df, "y", "id").collect()
+    assert {r["id"] for r in split if r["split"] == "test"} == brute_split(rows)
+    folds = {r["id"]: r["fold"] for r in sampling.stratified_kfold(df, "y", "id").collect()}
+    assert folds == brute_folds(rows)
+
+
+def test_buckets_of_buckets(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "OFFSET_ROWS", 4)
+    totals = [(g, b, b * b + 1) for g in ("x", None) for b in range(90) if b % 7]
+    frame = spark.createDataFrame(totals, "g STRING, b BIGINT, n BIGINT")
+    found = {(r["g"], r["b"]): r["n"] for r in ordered.offsets_before(frame, ["g"], "b", ["n"], 4).collect()}  # three levels and more
+    assert found == {(g, b): sum(m for h, c, m in totals if h == g and c < b) for g, b, _ in totals}
+    index = ordered.dense_index(spark.range(2000), "id", "s", rows_each=3).toPandas()
+    plain = ordered.dense_index(spark.range(2000), "id", "s").toPandas()
+    assert sorted(index.idx) == list(range(2000)) and index.sort_values("id").idx.tolist() == plain.sort_values("id").idx.tolist()
+
+
+def test_folds_in_ranges_of_a_few_rows(spark, monkeypatch):
+    rows = [(i % 3, i * 31 % 977) for i in range(977)]
+    df = spark.createDataFrame(rows, "y INT, id INT")
+    real = ordered.range_buckets
+    monkeypatch.setattr(sampling, "range_buckets", lambda d, c, out: real(d, c, out, rows_each=50))
+    assert {r["id"]: r["fold"] for r in sampling.stratified_kfold(df, "y", "id", 4).collect()} == brute_folds(rows, 4)
