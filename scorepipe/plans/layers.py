@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scorepipe.operators.clean import recode, recode_many, rename_map
 from scorepipe.operators.encode import fit_levels, level_map, one_hot
@@ -39,10 +42,15 @@ def features(silver: DataFrame, levels: dict[str, list] | None = None) -> DataFr
     return one_hot(silver, levels)
 
 
-def layer_registry(spark: SparkSession, raw_table: str, levels: dict[str, list] | None = None, prefix: str = "client") -> Registry:
-    """Clean and feature layers over a raw table, as datasets."""
-    reg = Registry(spark)
+def layer_registry(
+    spark: SparkSession, raw_table: str, levels: dict[str, list] | None = None, prefix: str = "client", folder: str | None = None
+) -> Registry:
+    """Clean and feature layers over a raw table, as datasets with the checks that every row should meet."""
+    reg = Registry(spark, folder)
     silver, gold = f"{prefix}_silver", f"{prefix}_gold"
-    reg.dataset(silver, "names and codes cleaned", [raw_table])(clean)
-    reg.dataset(gold, "one-hot features, ready for modelling", [silver])(lambda s: features(s, levels))
+    known = {f"{c} known": F.col(c).isin(v) for c, v in LEVELS.items()}
+    paid = reduce(lambda a, b: a & b, [F.col(c) >= 0 for c in DELAYS])
+    reg.dataset(silver, "names and codes cleaned", [raw_table], {**known, "key present": F.col(KEY).isNotNull(), "delays from zero up": paid})(clean)
+    label = {"label 0 or 1": F.col(LABEL).isin(0, 1), "older than 25": F.col("age") > 25}
+    reg.dataset(gold, "one-hot features, ready for modelling", [silver], label)(lambda s: features(s, levels))
     return reg

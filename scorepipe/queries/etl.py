@@ -1,5 +1,7 @@
 """Sources, cleaning, encoding."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from scorepipe.functions.columns import rounded
@@ -10,6 +12,7 @@ from scorepipe.queries.base import (
     BILLS, DELAYS, FEATURES, KEY, LABEL, NUMBERS, PAYS, RAW_DELAYS, SPLIT_SQL, bronze, documents_labelled, gold, nice,
     query, rnd, silver, unpivot_sql, with_ctes,
 )
+from scorepipe.session import work_path
 from scorepipe.sources.tables import preview, query as run_sql, read_parquet, read_table, register_folder
 
 DOCS = "SELECT doc_id, lang, n_chars, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)"
@@ -33,6 +36,29 @@ def a5(spark, d):
     return reg.refresh(["client_gold"], as_tables=False)["client_gold"]
 
 
+_CHECKS = {
+    "silver": {
+        **{f"{c} known": f"{c} IN ({', '.join(map(str, v))})" for c, v in layers.LEVELS.items()},
+        "key present": "id IS NOT NULL", "delays from zero up": " AND ".join(f"{c} >= 0" for c in DELAYS),
+    },
+    "gold": {"label 0 or 1": "de_pay IN (0, 1)", "older than 25": "age > 25"},
+}
+
+
+@query("a5_refreshed_tables", with_ctes("gold", " UNION ALL ".join(
+    f"SELECT '{layer}' AS dataset, '{name}' AS \"check\", count(*) AS rows, count(*) FILTER (NOT coalesce({cond}, false)) AS failed FROM {layer}"
+    for layer, checks in _CHECKS.items() for name, cond in checks.items()) + " UNION ALL SELECT 'gold', 'as built', count(*), 0 FROM gold"))
+def a5_tables(spark, d):
+    """The layers written as tables in order; rows and failed checks come from the jobs that write them."""
+    prefix = f"a5_{uuid.uuid4().hex[:12]}"
+    bronze(spark, d).createOrReplaceTempView("src_clients")
+    reg = layer_registry(spark, "src_clients", layers.LEVELS, prefix, work_path(spark, "datasets"))
+    table = reg.refresh()[f"{prefix}_gold"]
+    other = table.exceptAll(gold(spark, d)).count()  # the table against the frame that was never written
+    built = table.agg(F.lit("gold").alias("dataset"), F.lit("as built").alias("check"), F.count(F.lit(1)).alias("rows"), F.lit(other).cast("bigint").alias("failed"))
+    return reg.report().withColumn("dataset", F.regexp_replace("dataset", f"^{prefix}_", "")).unionByName(built)
+
+
 @query("a7_preview", with_ctes("clients", "SELECT * FROM clients ORDER BY id LIMIT 5"))
 def a7(spark, d):
     return preview(bronze(spark, d), 5, KEY)

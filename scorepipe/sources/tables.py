@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,13 +57,16 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
 
 def write_table(
-    df: DataFrame, name: str, overwrite_schema: bool = True, fmt: str = "parquet", comment: str | None = None
+    df: DataFrame, name: str, overwrite_schema: bool = True, fmt: str = "parquet", comment: str | None = None,
+    path: str | None = None, accept: Callable[[], None] | None = None,
 ) -> str:
     """Replace a table by the frame; running it again gives the same table.
 
     A transactional format replaces the table in one commit. Parquet does not, and overwriting a
     parquet table that the frame itself reads would destroy its input. The frame is therefore
-    written to a staging table first and takes the name only once it is complete.
+    written to a staging table first and takes the name only once it is complete. ``accept`` is called in
+    between: when it raises, the new rows are dropped and the old table stays. ``path`` is a fresh folder for
+    the files, instead of the warehouse.
     """
     spark = df.sparkSession
     if not overwrite_schema and spark.catalog.tableExists(name):
@@ -78,7 +82,15 @@ def write_table(
     writer = df.write.mode("errorifexists").format(fmt)
     if comment:
         writer = writer.option("comment", comment)
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(staging)
+    if accept:
+        try:
+            accept()
+        except Exception:
+            spark.sql(f"DROP TABLE {staging}")
+            raise
     replaced = spark.catalog.tableExists(name)
     if replaced:
         spark.sql(f"ALTER TABLE {name} RENAME TO {backup}")

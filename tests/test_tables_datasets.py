@@ -93,3 +93,22 @@ def test_layers_as_tables(spark, gold):
     out = reg.refresh()
     assert out["lay_gold"].columns == gold.columns
     assert out["lay_gold"].exceptAll(gold).count() == 0
+
+
+def test_refresh_counts_rows_and_failed_checks(spark, tmp_path):
+    reg = Registry(spark, str(tmp_path / "tables"))
+    spark.range(10).createOrReplaceTempView("chk_raw")
+    reg.dataset("chk_a", "some", ["chk_raw"], {"small": F.col("id") < 8, "even": F.when(F.col("id") != 3, F.col("id") % 2 == 0)})(lambda raw: raw.filter("id > 0"))
+    reg.dataset("chk_b", "all", ["chk_a"], {"kept": F.col("id") > 0})(lambda a: a)
+    built = reg.refresh()
+    assert sorted(map(tuple, reg.report().collect())) == [("chk_a", "even", 9, 5), ("chk_a", "small", 9, 2), ("chk_b", "kept", 9, 0)]
+    assert tables.table_location(spark, "chk_b").startswith("file:" + str(tmp_path)) and built["chk_b"].count() == 9
+    spark.range(3).createOrReplaceTempView("chk_raw")
+    with pytest.raises(ValueError, match="even"):
+        reg.refresh(strict=True)
+    assert spark.table("chk_a").count() == 9 and not [t.name for t in spark.catalog.listTables() if t.name.startswith("chk_a__")]
+    reg.refresh()
+    assert spark.table("chk_b").count() == 2
+    spark.range(0).createOrReplaceTempView("chk_raw")
+    reg.refresh(strict=True)
+    assert spark.table("chk_b").count() == 0 and {r["rows"] for r in reg.report().collect()} == {0}
