@@ -8,7 +8,7 @@ from scorepipe.queries.base import (
 )
 from scorepipe.sources.tables import materialise, read_parquet
 
-_FOLDS = "SELECT id, CAST(ntile(5) OVER (ORDER BY md5('42:' || CAST(id AS VARCHAR)), id) - 1 AS INT) AS fold FROM silver"
+_FOLDS = "SELECT *, CAST(ntile(5) OVER (ORDER BY md5('42:' || CAST(id AS VARCHAR)), id) - 1 AS INT) AS fold FROM silver"
 
 
 @query("e1_join_on_id", with_ctes("gold", "SELECT id, " + ", ".join(FEATURES) + ", de_pay FROM gold"))
@@ -17,15 +17,15 @@ def e1(spark, d):
     return sampling.join_on_id(x, y, KEY)
 
 
-@query("e2_union", with_ctes("silver", "SELECT id, limit_bal, de_pay FROM silver WHERE de_pay IS NOT NULL"))
+@query("e2_union", with_ctes("silver", "SELECT * FROM silver WHERE de_pay IS NOT NULL"))
 def e2(spark, d):
-    s = silver(spark, d).select(KEY, "limit_bal", LABEL)
+    s = silver(spark, d)
     return sampling.union_bags(clean.where_equals(s, LABEL, 0), clean.where_equals(s, LABEL, 1))
 
 
-@query("f1_stratified_split", with_ctes("silver", "SELECT id, de_pay, split FROM parts", parts=SPLIT_SQL.format(src="silver")))
+@query("f1_stratified_split", with_ctes("silver", "SELECT * FROM parts", parts=SPLIT_SQL.format(src="silver")))
 def f1(spark, d):
-    return sampling.stratified_split(silver(spark, d), LABEL, KEY).select(KEY, LABEL, "split")
+    return sampling.stratified_split(silver(spark, d), LABEL, KEY)
 
 
 @query(
@@ -43,9 +43,9 @@ def f1_orders(spark, d):
     "f2_oversample",
     with_ctes(
         "silver",
-        "SELECT id, CAST(-1 AS BIGINT) AS draw, limit_bal, de_pay FROM silver WHERE de_pay = 0 UNION ALL "
-        "SELECT i.id, dr.draw, i.limit_bal, i.de_pay FROM dr JOIN ix i ON i.idx = dr.idx",
-        ix="SELECT id, limit_bal, de_pay, row_number() OVER (ORDER BY md5('42:row:' || CAST(id AS VARCHAR)), id) - 1 AS idx "
+        "SELECT *, CAST(-1 AS BIGINT) AS draw FROM silver WHERE de_pay = 0 UNION ALL "
+        "SELECT i.* EXCLUDE (idx), dr.draw FROM dr JOIN ix i ON i.idx = dr.idx",
+        ix="SELECT *, row_number() OVER (ORDER BY md5('42:row:' || CAST(id AS VARCHAR)), id) - 1 AS idx "
         "FROM silver WHERE de_pay = 1",
         dr="SELECT range AS draw, " + hash_int_sql("'42:draw:' || CAST(range AS VARCHAR)")
         + " % (SELECT count(*) FROM silver WHERE de_pay = 1) AS idx "
@@ -53,9 +53,8 @@ def f1_orders(spark, d):
     ),
 )
 def f2(spark, d):
-    s = silver(spark, d).select(KEY, "limit_bal", LABEL)
-    out = sampling.oversample(s, LABEL, KEY)
-    return out.select(KEY, F.coalesce("draw", F.lit(-1).cast("bigint")).alias("draw"), "limit_bal", LABEL)
+    out = sampling.oversample(silver(spark, d), LABEL, KEY)
+    return out.withColumn("draw", F.coalesce("draw", F.lit(-1).cast("bigint")))
 
 
 _INTS = [c for c in FEATURES if not c.startswith(("limit_bal", "bill_amt", "pay_amt"))]
@@ -119,7 +118,7 @@ def f3_neighbors(spark, d):
 
 @query("f4_kfold", with_ctes("silver", _FOLDS))
 def f4(spark, d):
-    return sampling.kfold(silver(spark, d).select(KEY), KEY)
+    return sampling.kfold(silver(spark, d), KEY)
 
 
 @query(
@@ -135,7 +134,7 @@ def f4_orders(spark, d):
     with_ctes(
         "silver",
         # class order by first id; the class's share of fold i are the end-to-end places congruent to i
-        "SELECT r.id, r.de_pay, CAST(min(s.fold) AS INT) AS fold FROM r JOIN s ON s.de_pay = r.de_pay AND r.rn <= s.upto GROUP BY r.id, r.de_pay",
+        "SELECT silver.*, f.fold FROM silver JOIN (SELECT r.id, CAST(min(s.fold) AS INT) AS fold FROM r JOIN s ON s.de_pay = r.de_pay AND r.rn <= s.upto GROUP BY r.id) f USING (id)",
         c="SELECT de_pay, count(*) AS n, min(id) AS first FROM silver GROUP BY de_pay",
         st="SELECT de_pay, n, coalesce(sum(n) OVER (ORDER BY first ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM c",
         places="SELECT st.de_pay, (start + p.range) % 5 AS fold FROM st JOIN range((SELECT max(n) FROM st)) p ON p.range < st.n",
@@ -145,16 +144,16 @@ def f4_orders(spark, d):
     ),
 )
 def f5(spark, d):
-    return sampling.stratified_kfold(silver(spark, d).select(KEY, LABEL), LABEL, KEY)
+    return sampling.stratified_kfold(silver(spark, d), LABEL, KEY)
 
 
-@query("f6_fold_frames", with_ctes("silver", "SELECT id, fold, CASE WHEN fold = 0 THEN 'valid' ELSE 'train' END AS part FROM f", f=_FOLDS))
+@query("f6_fold_frames", with_ctes("silver", "SELECT *, CASE WHEN fold = 0 THEN 'valid' ELSE 'train' END AS part FROM f", f=_FOLDS))
 def f6(spark, d):
-    folds = sampling.kfold(silver(spark, d).select(KEY), KEY)
+    folds = sampling.kfold(silver(spark, d), KEY)
     train, valid = sampling.fold_frames(folds, 0)
     return sampling.union_bags(train.withColumn("part", F.lit("train")), valid.withColumn("part", F.lit("valid")))
 
 
-@query("f8_class_weight", with_ctes("silver", "SELECT id, de_pay, CAST(CASE WHEN de_pay = 1 THEN 3 ELSE 1 END AS DOUBLE) AS weight FROM silver"))
+@query("f8_class_weight", with_ctes("silver", "SELECT *, CAST(CASE WHEN de_pay = 1 THEN 3 ELSE 1 END AS DOUBLE) AS weight FROM silver"))
 def f8(spark, d):
-    return sampling.class_weight(silver(spark, d).select(KEY, LABEL), LABEL, 3)
+    return sampling.class_weight(silver(spark, d), LABEL, 3)
