@@ -119,3 +119,35 @@ def i7_tree(spark, d):
     model, test = _boosted(spark, d)
     gain = explain.gain_importance(model, len(FEATURES))
     return explain.rank_compare(gain, explain.shap_importance(explain.tree_shap(model, test, KEY), FEATURES, len(FEATURES)))
+
+
+_FEATURE_LIST = ", ".join(f"('{c}')" for c in FEATURES)
+
+
+@query("i6_gain_shares", f"SELECT f AS feature, true AS valid FROM (VALUES {_FEATURE_LIST}) v(f)")
+def i6_shares(spark, d):
+    """Of every feature: its importance is its share of the gains in the node table, and all shares make one."""
+    model, _ = _boosted(spark, d)
+    inner = explain.tree_nodes(model).filter("left >= 0")
+    gains = inner.groupBy("feature").agg(F.sum("gain").alias("gain"), F.min("gain").alias("least"))
+    whole = inner.agg(F.sum("gain").alias("whole"))
+    names = spark.createDataFrame(list(enumerate(FEATURES)), "feature INT, name STRING")
+    own = names.join(gains, "feature", "left").join(F.broadcast(whole)).select(F.col("name").alias("feature"), (F.coalesce("gain", F.lit(0.0)) / F.col("whole")).alias("share"), "least")
+    both = explain.gain_importance(model, len(FEATURES)).join(own, "feature")
+    one = both.agg(F.abs(F.sum("importance") - 1) < 1e-9).first()[0]
+    return both.select("feature", (F.lit(one) & (F.abs(F.col("importance") - F.col("share")) < 1e-9) & (F.coalesce("least", F.lit(1.0)) > 0)).alias("valid"))
+
+
+@query("i2_base_is_cover_mean", f"SELECT CAST(t AS INT) AS tree, true AS valid FROM range({ROUNDS}) r(t)")
+def i2_mean(spark, d):
+    """Of every tree: the covers of its leaves make that of its root; and the base value is the mean of all leaves by cover."""
+    model, _ = _boosted(spark, d)
+    nodes = explain.tree_nodes(model)
+    leaf = F.col("left") < 0
+    trees = nodes.groupBy("tree").agg(
+        F.sum(F.when(leaf, F.col("cover"))).alias("leaves"), F.max(F.when(F.col("node") == 0, F.col("cover"))).alias("root"),
+        F.sum(F.when(leaf, 2 * F.col("tree_weight") * F.col("value") * F.col("cover"))).alias("weighted"),
+    )
+    base = explain.base_value(explain.leaf_paths(nodes))
+    mean = trees.agg(F.sum(F.col("weighted") / F.col("root"))).first()[0]
+    return trees.select("tree", (F.lit(abs(base - mean) < 1e-9) & (F.abs(F.col("leaves") / F.col("root") - 1) < 1e-9)).alias("valid"))

@@ -7,6 +7,7 @@ they cover, and that values lie where they must (`valid`). The values themselves
 from pyspark.sql import functions as F
 
 from scorepipe.operators import metrics, models, sampling
+from scorepipe.operators.encode import fit_scaler
 from scorepipe.plans import tracking, training
 from scorepipe.queries.base import CARD, CARD_INTERCEPT, FEATURES, KEY, LABEL, SPLIT_SQL, gold, nice, query, with_ctes
 from scorepipe.queries.evaluation import compare_digits, compare_sql, two_runs
@@ -44,6 +45,25 @@ def g2(spark, d):
     return models.coefficients(model)
 
 
+@query("g2_logistic_optimum", "SELECT f AS feature, true AS valid FROM (VALUES ('intercept'), " + ", ".join(f"('{c}')" for c in FEATURES) + ") v(f)")
+def g2_optimum(spark, d):
+    """Of every coefficient: at the fitted values the penalised loss has no slope left along it."""
+    train, _ = parts(spark, d)
+    model, _ = models.scaled_logistic(train, FEATURES, LABEL)
+    weight = {r["feature"]: r["weight"] for r in models.coefficients(model).collect()}
+    stats = {r["column"]: (r["mean"], r["std_pop"]) for r in fit_scaler(train, FEATURES).collect()}
+    scored = models.score(model, train, KEY, FEATURES)
+    miss = F.col("score") - F.col("label")
+    scaled = {c: (F.col(c) - (stats[c][0] or 0.0)) / (stats[c][1] or 1.0) for c in FEATURES}
+    pulls = [F.struct(F.sum(miss * z).alias("slope"), F.sum(F.abs(miss * z)).alias("size")).alias(c) for c, z in {"intercept": F.lit(1.0), **scaled}.items()]
+    one = scored.agg(*pulls)
+    cells = [
+        F.struct(F.lit(c).alias("feature"), (F.abs(F.col(c)["slope"] + (0.0 if c == "intercept" else w)) <= 1e-3 * F.col(c)["size"] + 1e-6).alias("valid"))
+        for c, w in weight.items()
+    ]
+    return one.select(F.inline(F.array(*cells)))
+
+
 @query("g3_boosted_trees", with_ctes("gold", "SELECT split, count(*) AS n, true AS valid FROM sp GROUP BY split", **_SPLIT))
 def g3(spark, d):
     """Train and test rows of one boosted model; valid: it ranks about as well as the scorecard or better, and nearly all trees split."""
