@@ -233,8 +233,11 @@ def roots(marked: DataFrame, most_bits: int) -> DataFrame:
     """(fp, low, root) of every distinct fingerprint: its first row (rows without an id last) and what names its component."""
     if not 0 <= most_bits <= 3:
         raise ValueError("the keys are complete for at most three differing bits")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), *[F.col(c) for c in marked.columns if c != "fp"])
-    distinct = common.settled(marked.groupBy("fp").agg(F.min(order).alias("low")))
+    if "name" in marked.columns:
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("name")))
+    else:  # a plain number is summed without sorting
+        first = F.struct(F.min("doc_id").alias("doc_id"))
+    distinct = common.settled(marked.groupBy("fp").agg(first.alias("low")))
     parts = int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rooted = common.components(links(keys(distinct), parts, most_bits))
     return distinct.join(rooted.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
