@@ -284,9 +284,11 @@ def order_statistics(
     """Exact quantiles with linear interpolation: (column, prob, value), NULL and NaN left out.
 
     Every wanted rank gets a bracket of values. While a bracket holds more than `rank_rows` rows, a
-    sketch over a sample of its rows proposes a narrower one, and an exact count of the rows below
-    and inside decides whether it still holds the rank. Only values inside the last brackets are
-    ranked. The sample steers how fast brackets shrink; the answer does not depend on it.
+    sketch over a sample of its rows proposes three values, and exact counts of the rows below and at each
+    of them decide where the rank lies: on the middle value, which is then the answer, or between two of
+    them. The values at the ends leave the bracket when the rank lies beyond all their rows, so a value
+    that most rows share holds nothing up. Only values inside the last brackets are ranked. The sample
+    steers how fast brackets shrink; the answer does not depend on it.
     """
     spark = df.sparkSession
     x = df.select(*[F.nanvl(quoted(c).cast("double"), F.lit(None)).alias(f"x{i}") for i, c in enumerate(cols)])
@@ -308,28 +310,32 @@ def order_statistics(
         for k, s in enumerate(active):
             m = s["upto"] - s["below"]
             slack = 2.0 / math.sqrt(max(1.0, m * fraction)) + 2.0 / 10_000
-            s["ask"] = [(s["r1"] - s["below"] - 1) / m - slack, (s["r2"] - s["below"]) / m + slack]
+            s["ask"] = [(s["r1"] - s["below"] - 1) / m - slack, (s["r1"] - s["below"]) / m, (s["r2"] - s["below"]) / m + slack]
             marks = ", ".join(str(min(1.0, max(0.0, q))) + "D" for q in s["ask"])
             asks.append(f"percentile_approx(IF({_inside(s)}, {s['x']}, NULL), array({marks}), 10000) AS q{k}")
         found = seen.selectExpr(*asks).first()
         for k, s in enumerate(active):
-            q = found[f"q{k}"] or [s["lo"], s["hi"]]
-            s["try"] = (q[0] if s["ask"][0] > 0 else s["lo"], q[1] if s["ask"][1] < 1 else s["hi"])
+            q = found[f"q{k}"] or [s["lo"], s["lo"], s["hi"]]
+            s["try"] = (q[0] if s["ask"][0] > 0 else s["lo"], q[1], q[2] if s["ask"][2] < 1 else s["hi"])
         counted = x.selectExpr(*[
             e
             for k, s in enumerate(active)
-            for e in (
-                f"count_if({s['x']} < {_double(s['try'][0])}) AS below{k}", f"count_if({s['x']} <= {_double(s['try'][1])}) AS upto{k}",
-            )
+            for i, v in enumerate(s["try"])
+            for e in (f"count_if({s['x']} < {_double(v)}) AS below{k}_{i}", f"count_if({s['x']} <= {_double(v)}) AS upto{k}_{i}")
         ]).first()
         for k, s in enumerate(active):
-            was = (s["below"], s["upto"])
-            if counted[f"below{k}"] < s["r1"]:
-                s["lo"], s["below"] = s["try"][0], counted[f"below{k}"]
-            if counted[f"upto{k}"] >= s["r2"]:
-                s["hi"], s["upto"] = s["try"][1], counted[f"upto{k}"]
-            # a bracket that no longer shrinks holds few distinct values, which collapse when counted
-            s["open"] = (s["upto"] - s["below"]) < 0.5 * (was[1] - was[0]) and s["lo"] < s["hi"]
+            was = s["upto"] - s["below"]
+            below, upto = ([counted[f"{side}{k}_{i}"] for i in range(3)] for side in ("below", "upto"))
+            for i, v in enumerate(s["try"]):
+                if s["below"] <= upto[i] < s["r1"] and v >= s["lo"]:  # the ranks lie above all rows of this value
+                    s["lo"], s["below"] = math.nextafter(v, math.inf), upto[i]
+                elif s["below"] <= below[i] < s["r1"] and v >= s["lo"]:
+                    s["lo"], s["below"] = v, below[i]
+                if s["r2"] <= below[i] <= s["upto"] and v <= s["hi"]:  # and below all rows of this one
+                    s["hi"], s["upto"] = math.nextafter(v, -math.inf), below[i]
+                elif s["r2"] <= upto[i] <= s["upto"] and v <= s["hi"]:
+                    s["hi"], s["upto"] = v, upto[i]
+            s["open"] = s["upto"] - s["below"] < was and s["lo"] < s["hi"]
     brackets: dict[str, tuple[int, str]] = {}
     for s in steps:
         s["r1"] -= s["below"]

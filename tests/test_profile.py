@@ -112,3 +112,16 @@ def test_top_k(spark):
     df = spark.createDataFrame([(i, i % 3, i % 5) for i in range(30)], "id INT, g INT, v INT")
     assert [r["id"] for r in profile.top_k(df, "v", 3, "id").collect()] == [4, 9, 14]
     assert profile.top_k(df, "v", 2, "id", ["g"]).count() == 6
+
+
+@pytest.mark.parametrize("heavy", [0.0, 49.0, 50.0, 99.0])
+def test_a_value_that_most_rows_share_holds_nothing_up(spark, heavy):
+    from scorepipe.operators.ordered import order_statistics
+
+    rng = np.random.default_rng(8)
+    x = np.concatenate([np.full(6000, heavy), rng.random(4000) * 100])
+    rng.shuffle(x)
+    df = spark.createDataFrame([(float(v),) for v in x], "x DOUBLE")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.599, 0.6, 0.61, 0.75, 0.999, 1.0]
+    got = {r["prob"]: r["value"] for r in order_statistics(df, ["x"], probs, rank_rows=3, sample_rows=500).collect()}
+    assert [got[p] for p in probs] == pytest.approx(np.quantile(x, probs).tolist())
