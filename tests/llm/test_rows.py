@@ -200,3 +200,36 @@ def test_ids_outside_the_model_raise(spark):
             pieces.decode(spark.createDataFrame([(1, ids)], "doc_id BIGINT, ids ARRAY<INT>"), model).collect()
     found = pieces.decode(spark.createDataFrame([(1, None), (2, [])], "doc_id BIGINT, ids ARRAY<INT>"), model).collect()
     assert {r["doc_id"]: r["text"] for r in found} == {1: None, 2: ""}
+
+
+# latent paraphrases
+
+
+def moved_and_replaced(rng, n):
+    """(items, documents): runs of the item's words in another order, some words replaced; the last sentence stays."""
+    vocabulary = ["".join(x) for x in np.random.default_rng(11).choice(list("abcdefghijklmnop"), (4000, 6))]
+    items, texts = [], []
+    for _ in range(n):
+        size = int(rng.choice([40, 60, 90]))
+        words = rng.choice(vocabulary, size, replace=False).tolist()
+        answer = rng.choice(vocabulary, 4, replace=False).tolist()
+        cuts = np.array_split(np.arange(size), 4)
+        moved = [words[i] for part in (cuts[2], cuts[0], cuts[3], cuts[1]) for i in part]
+        moved = [w if rng.random() > 0.15 else "new" + w for w in moved]
+        items.append(" ".join(words) + ". " + " ".join(answer) + ".")
+        around = [" ".join(rng.choice(vocabulary, 150)) for _ in range(2)]
+        texts.append(f"{around[0]} {' '.join(moved)} {' '.join(answer)} {around[1]}")
+    clean = [" ".join(rng.choice(vocabulary, 300)) for _ in range(n)]
+    return items, texts, clean
+
+
+def test_latent_search_finds_moved_and_replaced_words(spark):
+    items, texts, clean = moved_and_replaced(np.random.default_rng(12), 40)
+    docs = docs_of(spark, list(enumerate([*texts, *clean])))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id BIGINT, text STRING")
+    found = {(r["doc_id"], r["item_id"]): r for r in decontaminate.contaminated(docs, bench).collect()}
+    own = [r for (d, i), r in found.items() if d == i]
+    assert len(own) >= 36 and len(found) == len(own)
+    assert sum(r["lcs_share"] < decontaminate.PARAPHRASE for r in own) >= 20 and all(r["answered"] for r in own if r["lcs_share"] < decontaminate.COPY)
+    exact = decontaminate.contaminated(docs, bench, cosine=9.0).count()  # without the latent path
+    assert exact <= len(own) - 20
