@@ -29,7 +29,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 KNOWN_STRETCHES = 1 << 18
 """Distinct stretches that a task remembers; beyond, it forgets all and goes on."""
 CHUNK = 1 << 19
-BATCH = 1 << 10
+BATCH = 1 << 12
 """Stretches that the tokenizer encodes in one call; its results are large while they last."""
 
 
@@ -147,6 +147,9 @@ class Encoder:
     """Encodes chunks of texts in one task."""
 
     def __init__(self, raw: bytes):
+        import os
+
+        os.environ.setdefault("RAYON_NUM_THREADS", "2")  # a task has one core; more threads mostly wait for each other
         import sentencepiece
         from tokenizers import normalizers
 
