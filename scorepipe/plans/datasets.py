@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorepipe.sources.tables import write_table
@@ -63,24 +63,23 @@ class Registry:
     def refresh(self, names: Iterable[str] | None = None, as_tables: bool = True, strict: bool = False) -> dict[str, DataFrame]:
         """Rebuild datasets in dependency order, as tables or, unwritten, as lazy frames.
 
-        Rows and failed checks of a table are counted by the job that writes it, so each layer is computed once. With
-        ``strict`` a table whose rows fail a check is not replaced, and the refresh ends there.
+        Rows and failed checks are counted on the table as written, before it takes its name, so each layer is computed
+        once. With ``strict`` a table whose rows fail a check is not replaced, and the refresh ends there.
         """
         built: dict[str, DataFrame] = {}
         for n in self.order(names):
             d = self.datasets[n]
             frame = d.build(*[built[i] if i in built else self.spark.read.table(i) for i in d.inputs])
             if as_tables:
-                seen = Observation(f"{n}-{uuid.uuid4().hex}")
-                failed = [F.count_if(~F.coalesce(c, F.lit(False))).alias(f"c{i}") for i, c in enumerate(d.checks.values())]
-                watched = frame.observe(seen, F.count(F.lit(1)).alias("rows"), *failed)
                 path = f"{self.folder.rstrip('/')}/{n}-{uuid.uuid4().hex}" if self.folder else None
-                write_table(watched, n, comment=d.comment, path=path, accept=lambda d=d, seen=seen: self._note(d, seen.get, strict))
+                write_table(frame, n, comment=d.comment, path=path, accept=lambda staged, d=d: self._note(d, staged, strict))
                 frame = self.spark.read.table(n)
             built[n] = frame
         return built
 
-    def _note(self, d: Dataset, seen: dict[str, int], strict: bool) -> None:
+    def _note(self, d: Dataset, staged: str, strict: bool) -> None:
+        failed = [F.count_if(~F.coalesce(c, F.lit(False))).alias(f"c{i}") for i, c in enumerate(d.checks.values())]
+        seen = self.spark.read.table(staged).agg(F.count(F.lit(1)).alias("rows"), *failed).first()
         self.found[d.name] = {"rows": seen["rows"], **{name: seen[f"c{i}"] for i, name in enumerate(d.checks)}}
         bad = {name: self.found[d.name][name] for name in d.checks if self.found[d.name][name]}
         if strict and bad:

@@ -49,7 +49,7 @@ _CHECKS = {
     f"SELECT '{layer}' AS dataset, '{name}' AS \"check\", count(*) AS rows, count(*) FILTER (NOT coalesce({cond}, false)) AS failed FROM {layer}"
     for layer, checks in _CHECKS.items() for name, cond in checks.items()) + " UNION ALL SELECT 'gold', 'as built', count(*), 0 FROM gold"))
 def a5_tables(spark, d):
-    """The layers written as tables in order; rows and failed checks come from the jobs that write them."""
+    """The layers written as tables in order; rows and failed checks are counted before a table takes its name."""
     prefix = f"a5_{uuid.uuid4().hex[:12]}"
     bronze(spark, d).createOrReplaceTempView("src_clients")
     reg = layer_registry(spark, "src_clients", layers.LEVELS, prefix, work_path(spark, "datasets"))

@@ -58,14 +58,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
 def write_table(
     df: DataFrame, name: str, overwrite_schema: bool = True, fmt: str = "parquet", comment: str | None = None,
-    path: str | None = None, accept: Callable[[], None] | None = None,
+    path: str | None = None, accept: Callable[[str], None] | None = None,
 ) -> str:
     """Replace a table by the frame; running it again gives the same table.
 
     A transactional format replaces the table in one commit. Parquet does not, and overwriting a
     parquet table that the frame itself reads would destroy its input. The frame is therefore
     written to a staging table first and takes the name only once it is complete. ``accept`` is called in
-    between: when it raises, the new rows are dropped and the old table stays. ``path`` is a fresh folder for
+    between with the name of the staging table: when it raises, the new rows are dropped and the old table stays. ``path`` is a fresh folder for
     the files, instead of the warehouse.
     """
     spark = df.sparkSession
@@ -87,7 +87,7 @@ def write_table(
     writer.saveAsTable(staging)
     if accept:
         try:
-            accept()
+            accept(staging)
         except Exception:
             spark.sql(f"DROP TABLE {staging}")
             raise
