@@ -94,6 +94,42 @@ def test_blocks_and_levels_give_the_same_trees(spark, table, monkeypatch):
     assert scores[0] == scores[1] and len(scores[0]) == (table.fold == 1).sum()
 
 
+@pytest.mark.parametrize("message_cells", [1 << 18, 2600])
+def test_tables_beyond_a_task_give_the_same_trees(spark, table, monkeypatch, message_cells):
+    """One stage a level, in several groups of models, and by shuffles; large levels that keep no sums do as well."""
+    df = spark.createDataFrame(table)
+    cuts = boosting.fit_cuts(df, COLS)
+    settings = [boosting.Settings(depth=d, rounds=2, columns=0.8, min_child=m, gamma=0.1, fold=f) for d, m, f in ((4, 1, 0), (2, 0, 2), (3, 4, -1))]
+    blocks = boosting.binned(df, COLS, "y", cuts, "fold")
+    one, one_trees = boosting.fit_many(blocks, settings, len(COLS))
+    monkeypatch.setattr(boosting, "DENSE_CELLS", 300)
+    few, few_trees = boosting.fit_many(blocks, settings, len(COLS))
+    for name, value in (("BLOCK_ROWS", 400), ("CELLS", 3000), ("TASK_BLOCKS", 1), ("MESSAGE_CELLS", message_cells)):
+        monkeypatch.setattr(boosting, name, value)
+    many, many_trees = boosting.fit_many(boosting.binned(df.repartition(5), COLS, "y", cuts, "fold"), settings, len(COLS), left_out=True)
+    for other in (few_trees, many_trees):
+        for a, b in zip(one_trees, other):
+            assert len(a) == len(b) == 2 and all(np.array_equal(getattr(p, k), getattr(q, k)) for p, q in zip(a, b) for k in ("feature", "bin", "left", "value", "gain", "hess"))
+    found = [sorted(map(tuple, boosting.left_out_scores(m, settings).collect())) for m in (one, many)]
+    assert found[0] == found[1] and len(found[0]) == table.fold.isin([0, 2]).sum()
+
+
+def test_a_level_is_one_stage(spark, table, monkeypatch):
+    """Levels of a table that no task holds whole neither shuffle nor sort."""
+    df = spark.createDataFrame(table)
+    cuts = boosting.fit_cuts(df, COLS)
+    for name, value in (("BLOCK_ROWS", 400), ("CELLS", 3000)):
+        monkeypatch.setattr(boosting, name, value)
+    blocks = boosting.binned(df.repartition(5), COLS, "y", cuts)
+    sc = spark.sparkContext
+    sc.setJobGroup("levels", "")
+    _, trees = boosting.fit_many(blocks, [boosting.Settings(depth=4, rounds=6)], len(COLS))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup("levels")]
+    tasks = [sc.statusTracker().getStageInfo(s) for j in jobs for s in j.stageIds]
+    assert len(trees[0]) == 6 and sum(s is not None and s.numCompletedTasks > 0 for s in tasks) <= 6 * 4 + 10
+
+
 def test_shared_folds_are_separate_fits(spark, table):
     df = spark.createDataFrame(table)
     draws = [{"max_depth": 3}, {"max_depth": 2, "learning_rate": 0.1}]
