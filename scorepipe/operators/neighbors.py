@@ -37,26 +37,64 @@ def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _with_self_away(d: np.ndarray, part: np.ndarray, cid: np.ndarray) -> np.ndarray:
+    """Distances with those of a row to itself put to infinity; ``cid`` is sorted."""
+    low, high = np.searchsorted(cid, part), np.searchsorted(cid, part, "right")
+    once = np.flatnonzero(high == low + 1)
+    d[once, low[once]] = np.inf
+    for i in np.flatnonzero(high > low + 1):
+        d[i, low[i]:high[i]] = np.inf
+    return d
+
+
+def _possible(q: np.ndarray, c: np.ndarray, size_c: np.ndarray, part: np.ndarray, cid: np.ndarray, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of all pairs that may be among the nearest: a matrix product, and twice its largest error as margin.
+
+    The sums of products stay within (features + 4) roundings of both lengths; the margin takes eight times that.
+    """
+    size_q = np.einsum("ij,ij->i", q, q)
+    d = q @ c.T
+    d *= -2.0
+    d += size_c
+    slack = 16 * (q.shape[1] + 4) * np.finfo(float).eps * (size_q + size_c.max())
+    _with_self_away(d, part, cid)
+    kth = np.partition(d, last, axis=1)[:, last]
+    return np.nonzero((d <= (kth + slack)[:, None]) & (d < np.inf))
+
+
 def nearest_in_block(qid, q, cid, c, k, step: int = 256):
     """The k nearest candidates of each query row, itself excluded, ties by id."""
     ids, near, dist = [], [], []
     by_id = np.argsort(cid, kind="stable")
     cid, c = cid[by_id], c[by_id]
     last = min(k, len(cid)) - 1
+    # squares of larger values could overflow in the product
+    plain = not (np.abs(q).max(initial=0) < 1e100 and np.abs(c).max(initial=0) < 1e100)
+    if not plain:  # lengths are taken from the middle of the candidates
+        middle = c.mean(axis=0)
+        centred = c - middle
+        size = np.einsum("ij,ij->i", centred, centred)
     for s in range(0, len(q), step):
-        part = qid[s:s + step]
-        d = squared_distances(q[s:s + step], c)
-        d[part[:, None] == cid[None, :]] = np.inf
-        kth = np.partition(d, last, axis=1)[:, last]
-        r, col = np.nonzero((d <= kth[:, None]) & np.isfinite(d))
+        part, own = qid[s:s + step], q[s:s + step]
+        if plain:
+            d = _with_self_away(squared_distances(own, c), part, cid)
+            kth = np.partition(d, last, axis=1)[:, last]
+            r, col = np.nonzero((d <= kth[:, None]) & np.isfinite(d))
+            exact = d[r, col]
+        else:
+            r, col = _possible(own - middle, centred, size, part, cid, last)
+            exact = np.zeros(len(r))
+            for j in range(own.shape[1]):  # in the order of squared_distances
+                gap = own[r, j] - c[col, j]
+                exact += gap * gap
         # candidates are in id order, so the column number breaks ties
-        order = np.lexsort((col, d[r, col], r))
-        r, col = r[order], col[order]
+        order = np.lexsort((col, exact, r))
+        r, col, exact = r[order], col[order], exact[order]
         place = np.arange(len(r)) - np.searchsorted(r, r)
-        r, col = r[place < k], col[place < k]
+        r, col, exact = r[place < k], col[place < k], exact[place < k]
         ids.append(part[r])
         near.append(cid[col])
-        dist.append(d[r, col])
+        dist.append(exact)
     return pd.DataFrame({"id": np.concatenate(ids), "neighbor": np.concatenate(near), "dist2": np.concatenate(dist)})
 
 

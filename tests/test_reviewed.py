@@ -1,9 +1,10 @@
 """Legal input that once gave silently wrong rows."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scorepipe.operators import encode, metrics, risk, sampling
+from scorepipe.operators import encode, metrics, neighbors, risk, sampling
 from scorepipe.plans.tracking import RunStore
 
 
@@ -58,3 +59,27 @@ def test_decisions_from_scores(spark):
     assert fitted == sorted(fitted)
     assert risk.stability(known, known, "score").agg(F.sum("psi")).first()[0] == pytest.approx(0)
     assert risk.time_split(df.withColumn("t", F.lit(None).cast("timestamp")), "t").filter("split = 'test'").count() == 0
+
+
+@pytest.mark.parametrize("kind", ["whole", "far", "huge", "missing"])
+def test_near_rows_come_from_a_product_and_are_exact(kind, monkeypatch):
+    """Distances and ties are those of the plain sums; these are taken only where the product could overflow."""
+    rng = np.random.default_rng(3)
+    q, c = np.round(rng.normal(size=(300, 6)), 1), np.round(rng.normal(size=(400, 6)), 1)
+    if kind == "far":
+        q, c = q + 1e7, c + 1e7
+    if kind == "huge":
+        c[::3] *= 1e160
+    if kind == "missing":
+        c[::3, 1] = np.nan
+    qid, cid = np.arange(300), rng.permutation(500)[:400] // 2
+    with np.errstate(all="ignore"):
+        d = neighbors.squared_distances(q, c)
+        want = []
+        for i in range(300):
+            near = sorted((d[i, j], cid[j]) for j in range(400) if cid[j] != qid[i] and np.isfinite(d[i, j]))[:5]
+            want += [(i, b, a) for a, b in near]
+        if kind in ("whole", "far"):
+            monkeypatch.delattr(neighbors, "squared_distances")
+        got = neighbors.nearest_in_block(qid, q, cid, c, 5)
+    assert list(got.itertuples(index=False, name=None)) == want
