@@ -4,8 +4,8 @@
    words) that hold it, over the whole corpus. TF-IDF follows.
 2. A randomised singular value decomposition of the block matrix gives each feature a latent vector: tasks
    multiply their blocks with a random matrix and back, the driver orthogonalises a matrix of bounded size,
-   tasks project once more. It is fitted on a documented number of documents chosen by hash; the corpus counts
-   are not. Feature vectors are brought to unit length, so that rare words weigh by their inverse frequency.
+   tasks project once more. It is fitted on all documents. Feature vectors are brought to unit length, so that
+   rare words weigh by their inverse frequency.
 3. Passages are runs of blocks, for each item as many as surely hold all of it and half as many words put in. All
    passages of all documents are compared with the items, in the task that holds the text: candidates are those
    near by cosine, and all that hold as many of the item's words as the next step asks for. So no cosine, however
@@ -29,8 +29,9 @@ from scorepipe.llm import common
 FEATURES = 1 << 15
 RANK = 64
 BLOCK_WORDS = 16
-FIT_DOCS = 10_000
 CHUNK = 1 << 19
+PART = 256
+"""Features whose sums over all tasks are added up at a time."""
 COSINE = 0.5
 COPY = 0.8
 PARAPHRASE = 0.5
@@ -105,26 +106,6 @@ def weights(counts: np.ndarray, blocks: int) -> np.ndarray:
     return np.log((2 + blocks) / (1 + counts)).astype(np.float32)
 
 
-def weighted(data: np.ndarray, starts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """(block, feature) of the words of a chunk that carry weight, and the number of blocks."""
-    word, text = hashed_words(data, starts)
-    if not len(word):
-        return np.empty(0, np.int64), np.empty(0, np.int64), 0
-    block, at, _ = blocks_of(text)
-    feature = feature_of(word)
-    some = idf[feature] > 0
-    return block[some], feature[some], len(at)
-
-
-def summed(owner: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Sum of the rows of each owner; owners are sorted."""
-    out = np.zeros((n, rows.shape[1]), np.float32)
-    if len(owner):
-        at = common.runs(owner)
-        out[owner[at]] = np.add.reduceat(rows, at, axis=0)
-    return out
-
-
 def block_sums(feature: np.ndarray, block: np.ndarray, at: np.ndarray, latent: np.ndarray) -> np.ndarray:
     """Sum of the latent vectors of each block's words; the last row of ``latent`` is zero and fills up short blocks."""
     table = np.full((len(at), BLOCK_WORDS), len(latent) - 1, np.int64)
@@ -145,46 +126,48 @@ def multiplied(docs: DataFrame, idf: np.ndarray, right: np.ndarray, back: bool)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros((FEATURES if back else rank, rank), np.float64)
+        padded = np.concatenate([right * idf[:, None], np.zeros((1, rank), np.float32)])
         for batch in batches:
             for _, data, starts in common.text_chunks(batch, "text", CHUNK):
-                block, feature, n = weighted(data, starts, idf)
-                norm = np.sqrt(np.bincount(block, idf[feature] ** 2, n)).astype(np.float32)
-                value = idf[feature] / norm[block]
-                product = summed(block, right[feature] * value[:, None], n)
+                word, text = hashed_words(data, starts)
+                if not len(word):
+                    continue
+                block, at, _ = blocks_of(text)
+                feature = feature_of(word)
+                square = np.bincount(block, idf[feature] ** 2, len(at)).astype(np.float32)[:, None]
+                product = block_sums(feature, block, at, padded)
                 if back:
-                    order = np.argsort(feature, kind="stable")
-                    out += summed(feature[order], product[block[order]] * value[order, None], FEATURES)
+                    product /= square
+                    order = np.argsort(feature.astype(np.uint16), kind="stable")
+                    first = feature[order]
+                    runs = common.runs(first)
+                    out[first[runs]] += np.add.reduceat(product[block[order]], runs, axis=0)
                 else:
+                    product /= np.sqrt(square)
                     out += product.T.astype(np.float64) @ product
-        for i in range(0, len(out), 1024):
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([out[i : i + 1024].astype(np.float32).tobytes()], pa.binary())], ["part", "sums"])
+        if back:
+            out *= idf[:, None]
+        for i in range(0, len(out), PART):
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([out[i : i + PART].astype(np.float32).tobytes()], pa.binary())], ["part", "sums"])
 
     def added(table: pa.Table) -> pa.Table:
-        total = np.zeros(1024 * rank)
-        for x in table.column("sums"):
-            part = np.frombuffer(x.as_py(), np.float32)
-            total[: len(part)] += part
-        total = total[: len(part)]
+        total = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in table.column("sums"))
         return pa.table({"part": table.column("part")[:1], "sums": pa.array([total.tobytes()], pa.binary())})
 
-    parts = docs.select("text").mapInArrow(common.lean(work), "part BIGINT, sums BINARY").groupBy("part").applyInArrow(added, "part BIGINT, sums BINARY").collect()
+    # a task sends a matrix of fixed size, so there are as many tasks as the cluster keeps busy
+    dealt = docs.select("text").coalesce(2 * docs.sparkSession.sparkContext.defaultParallelism)
+    parts = dealt.mapInArrow(common.lean(work), "part BIGINT, sums BINARY").groupBy("part").applyInArrow(added, "part BIGINT, sums BINARY").collect()
     return np.concatenate([np.frombuffer(r["sums"]) for r in sorted(parts, key=lambda r: r["part"])]).reshape(-1, rank) if parts else np.zeros((FEATURES if back else rank, rank))
 
 
-def latent_vectors(docs: DataFrame, idf: np.ndarray, rank: int = RANK, fit_docs: int = FIT_DOCS) -> np.ndarray:
-    """[FEATURES, rank] weighted unit vectors of the features from the leading right singular vectors.
+def latent_vectors(docs: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
+    """[FEATURES, rank] weighted unit vectors of the features from the leading right singular vectors of all documents.
 
-    Fitted on about ``fit_docs`` documents, those whose id hashes lowest; a feature that they do not hold gets a
-    random direction, so it still matches itself.
+    A feature that no document holds gets a random direction, so it still matches itself.
     """
-    rows = docs.agg(F.count(F.lit(1))).first()[0]
-    kept = docs
-    if rows > fit_docs:
-        kept = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * fit_docs / rows))
-    kept = common.settled(kept.repartition(16))  # each part sends a matrix of fixed size
     wide = rank + 8
-    q, _ = np.linalg.qr(multiplied(kept, idf, random_rows(1, wide), back=True))
-    gram = multiplied(kept, idf, q.astype(np.float32), back=False)
+    q, _ = np.linalg.qr(multiplied(docs, idf, random_rows(1, wide), back=True))
+    gram = multiplied(docs, idf, q.astype(np.float32), back=False)
     values, vectors = np.linalg.eigh(gram)
     leading = np.argsort(values)[::-1][:rank]
     v = q @ vectors[:, leading]
@@ -388,7 +371,7 @@ def matches(
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, copy: float = COPY, paraphrase: float = PARAPHRASE, answer_share: float = ANSWER,
-    rank: int = RANK, fit_docs: int = FIT_DOCS, items_at_once: int = ITEMS_AT_ONCE, key: str = "doc_id", text: str = "text",
+    rank: int = RANK, items_at_once: int = ITEMS_AT_ONCE, key: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """(doc_id, item_id, lcs_share, cosine, answered): every document that holds a benchmark item, with the item.
 
@@ -402,7 +385,7 @@ def contaminated(
     """
     rows = plain(docs, key, text)
     counts, blocks = document_frequencies(rows)
-    latent = latent_vectors(rows, weights(counts, blocks), rank, fit_docs)
+    latent = latent_vectors(rows, weights(counts, blocks), rank)
     bench = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
     parts = max(1, -(-bench.count() // items_at_once))
     out = None

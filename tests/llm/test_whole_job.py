@@ -114,3 +114,21 @@ def test_small_groups_are_judged_one_level_up(spark):
     assert {i for i, r in got.items() if not r["kept"]} == {200, 201, 202, 204}
     only = {r["doc_id"]: r for r in outliers.quality_rules(spark.createDataFrame(rows[:60], DOCS)).collect()}
     assert all(abs(only[i]["distance"] - got[i]["distance"]) < 1e-9 for i in range(60))  # large groups are judged as before
+
+
+def test_decomposition_is_that_of_all_documents(spark):
+    """Ten words make at most ten directions, so the randomised decomposition is exact; a sample of rows would differ."""
+    rng = np.random.default_rng(5)
+    names = [f"w{i}" for i in range(10)]
+    texts = [" ".join(rng.choice(names, 5, p=np.arange(1, 11) / 55)) for _ in range(12_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING").repartition(3)
+    idf = decontaminate.weights(*decontaminate.document_frequencies(docs))
+    raw = " ".join(names).encode()
+    own = decontaminate.feature_of(decontaminate.hashed_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0])
+    cells = np.array([[t.split().count(n) for n in names] for t in texts]) * idf[own]
+    scale = np.sqrt((np.array([[t.split().count(n) for n in names] for t in texts]) * idf[own] ** 2).sum(axis=1, keepdims=True))
+    rows = cells / scale
+    leading = np.linalg.eigh(rows.T @ rows)[1][:, -4:]
+    leading /= np.linalg.norm(leading, axis=1, keepdims=True)
+    got = decontaminate.latent_vectors(docs, idf, 4)[own] / idf[own][:, None]
+    assert np.abs(got @ got.T - leading @ leading.T).max() < 1e-3
