@@ -33,8 +33,10 @@ MAX_BINS = 256
 BLOCK_ROWS = 1 << 16
 CELLS = 1 << 22
 """Cells (rows x features, a byte each) that a task bins at a time; tables up to this size are whole in the tasks."""
-TASK_BLOCKS = 2
+TASK_BLOCKS = 1
 """Blocks that are worth a task, while there are cores for it."""
+FEW_SPLITS = 64
+"""Trees with at most so many splits are walked split by split over bytes, larger ones row by row."""
 MESSAGE_CELLS = 1 << 18
 """Sums (node x bin) that a task sends at most; models with larger levels are shuffled."""
 MODEL_ROWS = 1 << 23
@@ -117,6 +119,21 @@ class Tree:
         node[rows] = np.where(bins[feature[own], rows] <= at[own], left[own], right[own])
 
     def leaves(self, bins: np.ndarray, depth: int) -> np.ndarray:
+        """The node of every row after ``depth`` levels."""
+        left = np.asarray(self.left)
+        splits = np.flatnonzero(left >= 0)
+        if len(splits) <= FEW_SPLITS:  # so all nodes have numbers of one byte
+            below = np.zeros(len(left), np.int64)
+            node = np.zeros(bins.shape[1], np.uint8)
+            for s in splits.tolist():  # a child comes after its parent
+                a, b = self.left[s], self.right[s]
+                below[[a, b]] = below[s] + 1
+                if below[s] < depth:
+                    own = node == s
+                    node += own.view(np.uint8) * np.uint8(a - s)
+                    own &= bins[self.feature[s]] > self.bin[s]
+                    node += own.view(np.uint8) * np.uint8(b - a)
+            return node.astype(np.int32)
         node = np.zeros(bins.shape[1], np.int32)
         for _ in range(depth):
             self.step(bins, node)
@@ -266,6 +283,9 @@ def binned(df: DataFrame, features: list[str], label: str, cuts: list[np.ndarray
     if not total:
         raise ValueError("no rows to fit")
     blocks = -(-total // BLOCK_ROWS)
+    if total * len(features) > CELLS:  # as much for every core
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        blocks = -(-blocks // cores) * cores
     cols = [quoted(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)]
     rows = df.select(*cols, quoted(label).cast("int").alias("y"), (quoted(fold).cast("int") if fold else F.lit(0)).alias("k"))
     rows = rows.repartition(blocks)
@@ -404,12 +424,15 @@ def fit_block(bins: np.ndarray, label: np.ndarray, fold: np.ndarray, settings: S
         rows, slots = ask.rows(node, train)
         work = rows, slots, len(ask.nodes), g[rows], h[rows]
         sums = node_sums(bins, ask.features, widths, *work) if ask.dense else level_sums(bins, ask.features, *work)
-        tree = ask.tree
+        tree, level = ask.tree, ask.level + 1
         try:
             ask = plan.send(sums)
         except StopIteration as end:
             ask, trees = None, end.value
-        tree.step(bins, node)
+        if len(tree.feature) <= 2 * FEW_SPLITS:
+            node = tree.leaves(bins, level)
+        else:
+            tree.step(bins, node)
         if tree.value is not None:
             margin += settings.rate * tree.value[node]
     return margin, trees
@@ -502,7 +525,7 @@ def _fit_whole(blocks: DataFrame, models: list[Settings], keep_trees: bool, left
 
 def _fit_by_sums(blocks: DataFrame, models: list[Settings], features: int, tasks: int, left_out: bool) -> tuple[DataFrame, list[list[Tree]]]:
     """All models level by level over blocks kept by the executors; a level is one stage, whose tasks send one array each."""
-    dealt = blocks.withColumn("part", F.spark_partition_id()).repartitionByRange(tasks, "part")
+    dealt = blocks.withColumn("part", F.monotonically_increasing_id()).repartitionByRange(tasks, "part")
 
     def held(rows):
         read = [[np.frombuffer(r[c], t) for c, t in (("bins", np.uint8), ("label", np.int32), ("fold", np.int32))] for r in rows]
@@ -529,7 +552,7 @@ def _fit_by_sums(blocks: DataFrame, models: list[Settings], features: int, tasks
     pending: dict[int, list[Tree]] = {m: [] for m in plans}
     old, updates = [], 0
     while asked:
-        if sum(map(len, pending.values())) >= len(asked):
+        if sum(map(len, pending.values())) >= max(REFRESH, len(asked)):
             old.append(state)
             done = {m: list(trees) for m, trees in pending.items()}
             state = state.map(lambda part, done=done: (*part[:3], with_trees(part[3], part[0], done))).persist(StorageLevel.MEMORY_AND_DISK)

@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark import RDD
 from pyspark.sql import functions as F
 
 from scorepipe.operators import boosting, models
@@ -130,6 +131,36 @@ def test_a_level_is_one_stage(spark, table, monkeypatch):
     assert len(trees[0]) == 6 and sum(s is not None and s.numCompletedTasks > 0 for s in tasks) <= 6 * 4 + 10
 
 
+def test_margins_are_not_kept_anew_for_every_tree(spark, table, monkeypatch):
+    """Keeping them copies the blocks, too; and every core has as many rows."""
+    df = spark.createDataFrame(table)
+    cuts = boosting.fit_cuts(df, COLS)
+    for name, value in (("BLOCK_ROWS", 400), ("CELLS", 3000)):
+        monkeypatch.setattr(boosting, name, value)
+    blocks = boosting.binned(df.repartition(5), COLS, "y", cuts)
+    sizes = [r["n"] for r in blocks.collect()]
+    assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) - min(sizes) <= 8
+    kept, persist = [], RDD.persist
+    monkeypatch.setattr(RDD, "persist", lambda rdd, *a: kept.append(rdd) or persist(rdd, *a))
+    _, trees = boosting.fit_many(blocks, [boosting.Settings(depth=3, rounds=10)], len(COLS))
+    assert len(trees[0]) == 10 and len(kept) <= 2
+
+
+@pytest.mark.parametrize("splits", [1, 9, 64, 150])
+def test_leaves_are_those_of_single_steps(splits):
+    rng = np.random.default_rng(splits)
+    bins, tree = rng.integers(0, 256, (4, 3000)).astype(np.uint8), boosting.Tree()
+    open_ = [(0, 0)]
+    for _ in range(splits):
+        node, level = open_.pop(int(rng.integers(len(open_))))
+        open_ += [(c, level + 1) for c in tree.split(node, int(rng.integers(4)), int(rng.integers(255)), 1.0, (0.0, 1.0, 0.0, 1.0))]
+    for depth in (0, 1, 2, 5, max(level for _, level in open_)):
+        node = np.zeros(3000, np.int32)
+        for _ in range(depth):
+            tree.step(bins, node)
+        assert np.array_equal(tree.leaves(bins, depth), node)
+
+
 def test_shared_folds_are_separate_fits(spark, table):
     df = spark.createDataFrame(table)
     draws = [{"max_depth": 3}, {"max_depth": 2, "learning_rate": 0.1}]
