@@ -51,15 +51,22 @@ LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def hashed_words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hash of every word in a chunk, index of its text). Words are letters, digits and non-ASCII; A-Z as a-z."""
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n of the base and of its inverse."""
+    return tuple(np.multiply.accumulate(np.append(np.uint64(1), np.full(n, b, np.uint64))) for b in (BASE, np.uint64(pow(int(BASE), -1, 1 << 64))))
+
+
+def hashed_words(data: np.ndarray, starts: np.ndarray, scale: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of every word in a chunk, index of its text). Words are letters, digits and non-ASCII; A-Z as a-z.
+
+    ``scale`` are the powers of a longer chunk, so that a task raises them once.
+    """
     begin, end, text = common.word_spans(data, starts, LETTERS)
     lower = np.arange(1, 257, dtype=np.uint64)
     lower[65:91] += np.uint64(32)
-    up = np.multiply.accumulate(np.full(len(data) + 1, BASE, np.uint64))
-    down = np.multiply.accumulate(np.full(len(data) + 1, np.uint64(pow(int(BASE), -1, 1 << 64)), np.uint64))
+    up, down = scale if scale and len(scale[0]) > len(data) else powers(len(data))
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(common.mix(lower)[data] * up[:-1], out=total[1:])
+    np.cumsum(common.mix(lower)[data] * up[: len(data)], out=total[1:])
     return common.mix((total[end] - total[begin]) * down[begin]), text
 
 
@@ -83,10 +90,10 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """(blocks that hold each feature, blocks) over all documents; as many numbers as there are features."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(FEATURES + 1, np.int64)
+        seen, scale = np.zeros(FEATURES + 1, np.int64), powers(CHUNK)
         for batch in batches:
             for _, data, starts in common.text_chunks(batch, "text", CHUNK):
-                word, text = hashed_words(data, starts)
+                word, text = hashed_words(data, starts, scale)
                 if len(word):
                     block, at, _ = blocks_of(text)
                     cells = np.sort(block * FEATURES + feature_of(word))
@@ -110,9 +117,12 @@ def block_sums(feature: np.ndarray, block: np.ndarray, at: np.ndarray, latent: n
     """Sum of the latent vectors of each block's words; the last row of ``latent`` is zero and fills up short blocks."""
     table = np.full((len(at), BLOCK_WORDS), len(latent) - 1, np.int64)
     table[block, np.arange(len(feature)) - at[block]] = feature
-    out = latent[table[:, 0]]
-    for k in range(1, BLOCK_WORDS):
-        out += latent[table[:, k]]
+    table = np.ascontiguousarray(table.T)
+    out = latent[table[0]]
+    held = np.empty_like(out)
+    for words in table[1:]:
+        np.take(latent, words, axis=0, out=held, mode="clip")  # places are known to be right; without the check it writes straight to held
+        out += held
     return out
 
 
@@ -125,11 +135,11 @@ def multiplied(docs: DataFrame, idf: np.ndarray, right: np.ndarray, back: bool)
     rank = right.shape[1]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros((FEATURES if back else rank, rank), np.float64)
+        out, scale = np.zeros((rank, FEATURES if back else rank), np.float64), powers(CHUNK)
         padded = np.concatenate([right * idf[:, None], np.zeros((1, rank), np.float32)])
         for batch in batches:
             for _, data, starts in common.text_chunks(batch, "text", CHUNK):
-                word, text = hashed_words(data, starts)
+                word, text = hashed_words(data, starts, scale)
                 if not len(word):
                     continue
                 block, at, _ = blocks_of(text)
@@ -138,13 +148,13 @@ def multiplied(docs: DataFrame, idf: np.ndarray, right: np.ndarray, back: bool)
                 product = block_sums(feature, block, at, padded)
                 if back:
                     product /= square
-                    order = np.argsort(feature.astype(np.uint16), kind="stable")
-                    first = feature[order]
-                    runs = common.runs(first)
-                    out[first[runs]] += np.add.reduceat(product[block[order]], runs, axis=0)
+                    sizes = np.diff(np.append(at, len(word)))
+                    for total, values in zip(out, product.T.astype(np.float64)):
+                        total += np.bincount(feature, np.repeat(values, sizes), FEATURES)
                 else:
                     product /= np.sqrt(square)
                     out += product.T.astype(np.float64) @ product
+        out = np.ascontiguousarray(out.T)
         if back:
             out *= idf[:, None]
         for i in range(0, len(out), PART):
@@ -293,7 +303,7 @@ def matches(
     docs: DataFrame, latent: np.ndarray, items: Items, cosine: float, copy: float, paraphrase: float, answer_share: float, latent_share: float = LATENT_SHARE
 ) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        padded = np.concatenate([latent, np.zeros((1, latent.shape[1]), np.float32)])
+        padded, scale = np.concatenate([latent, np.zeros((1, latent.shape[1]), np.float32)]), powers(CHUNK)
         known = np.unique(np.concatenate(items.words)) if items.words else np.empty(0, np.uint64)
         hinted = np.zeros(FEATURES, bool)
         hinted[feature_of(known)] = True
@@ -314,7 +324,7 @@ def matches(
         for batch in batches:
             ids = batch.column(0)
             for rows, data, starts in common.text_chunks(batch, "text", CHUNK):
-                word, text = hashed_words(data, starts)
+                word, text = hashed_words(data, starts, scale)
                 if not len(word):
                     continue
                 block, at, owner = blocks_of(text)
