@@ -46,8 +46,10 @@ LINEAGE = 20
 DENSE_CELLS = 1 << 20
 """Sums (node x bin) of a level that are kept for the next one."""
 UNIT = float(1 << 24)
-REFRESH = 8
+REFRESH = 5
 """Trees that are added to the stored margins at a time."""
+SETTLE = 8
+"""The same where margins are written to the shared folder."""
 LEAST_GAIN = 1e-6
 
 
@@ -320,14 +322,14 @@ def _block(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return read[0].reshape(-1, n), read[1], read[2]
 
 
-def node_sums(bins: np.ndarray, features: np.ndarray, widths: np.ndarray, rows: np.ndarray, slots: np.ndarray, n_slots: int, g, h) -> np.ndarray:
-    """[2, slot, bins of all features side by side]: g and h of every slot."""
+def node_sums(bins: np.ndarray, features: np.ndarray, widths: np.ndarray, rows: np.ndarray | None, slots: np.ndarray | None, n_slots: int, g, h) -> np.ndarray:
+    """[2, slot, bins of all features side by side]: g and h of every slot; without ``rows`` those of all."""
     out = np.empty((2, n_slots, int(widths[features].sum())), np.int64)
     at = 0
     for f in features:
         w = int(widths[f])
-        key = slots * w
-        key += bins[f][rows]
+        key = bins[f] if rows is None else bins[f][rows]
+        key = slots * w + key if n_slots > 1 else key.astype(np.int64)
         for k, x in enumerate((g, h)):
             out[k, :, at : at + w] = np.bincount(key, x, n_slots * w).reshape(n_slots, w)
         at += w
@@ -484,6 +486,11 @@ def _joined(held: list[tuple], features: int) -> tuple[np.ndarray, np.ndarray, n
     return tuple(np.concatenate([h[i] for h in held], axis=-1) for i in range(3))
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """The same whole numbers in as few bytes as they need."""
+    return x.astype(np.promote_types(*(np.min_scalar_type(v) for v in (x.min(initial=0), x.max(initial=0)))))
+
+
 def _margin_rows(m: int, settings: Settings, label, fold, margin, trees: bytes, left_out: bool) -> Iterator[pa.RecordBatch]:
     own = np.flatnonzero(fold == settings.fold) if left_out else np.arange(len(fold))
     for i in range(0, max(1, len(own)), BLOCK_ROWS):
@@ -524,13 +531,16 @@ def _fit_whole(blocks: DataFrame, models: list[Settings], keep_trees: bool, left
 
 
 def _fit_by_sums(blocks: DataFrame, models: list[Settings], features: int, tasks: int, left_out: bool) -> tuple[DataFrame, list[list[Tree]]]:
-    """All models level by level over blocks kept by the executors; a level is one stage, whose tasks send one array each."""
+    """All models level by level over blocks kept by the executors; a level is one stage, whose tasks send one array each.
+
+    Every stage reads the kept blocks, so they are small and kept as they are: serialised ones would be read through Java's streams.
+    """
     dealt = blocks.withColumn("part", F.monotonically_increasing_id()).repartitionByRange(tasks, "part")
 
     def held(rows):
         read = [[np.frombuffer(r[c], t) for c, t in (("bins", np.uint8), ("label", np.int32), ("fold", np.int32))] for r in rows]
         bins, label, fold = _joined([(b.reshape(features, -1), y, k) for b, y, k in read], features)
-        yield bins, label, fold, np.zeros((len(models), len(label)))
+        yield bins, _narrow(label), _narrow(fold), np.zeros((len(models), len(label)))
 
     def with_trees(margin, bins, pending):
         if any(pending.values()):
@@ -543,7 +553,7 @@ def _fit_by_sums(blocks: DataFrame, models: list[Settings], features: int, tasks
     def added(parts) -> np.ndarray:
         return parts.treeReduce(np.add) if tasks > 64 else reduce(np.add, parts.collect())
 
-    state = dealt.rdd.mapPartitions(held).persist(StorageLevel.MEMORY_AND_DISK)
+    state = dealt.rdd.mapPartitions(held).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     tops = state.map(lambda part: part[0].max(axis=1, initial=0).astype(np.int64)).map(lambda x: x[None])
     widths = tops.reduce(np.maximum)[0] + 1
     plans = {m: planned(s, widths, math.inf) for m, s in enumerate(models)}
@@ -552,21 +562,31 @@ def _fit_by_sums(blocks: DataFrame, models: list[Settings], features: int, tasks
     pending: dict[int, list[Tree]] = {m: [] for m in plans}
     old, updates = [], 0
     while asked:
-        if sum(map(len, pending.values())) >= max(REFRESH, len(asked)):
+        if sum(map(len, pending.values())) >= max(REFRESH, 2 * len(asked)):
             old.append(state)
             done = {m: list(trees) for m, trees in pending.items()}
-            state = state.map(lambda part, done=done: (*part[:3], with_trees(part[3], part[0], done))).persist(StorageLevel.MEMORY_AND_DISK)
+            state = state.map(lambda part, done=done: (*part[:3], with_trees(part[3], part[0], done))).persist(StorageLevel.MEMORY_AND_DISK_DESER)
             pending, updates = {m: [] for m in plans}, updates + 1
             if not updates % LINEAGE:
                 state.checkpoint()
 
         def sums(part, asked=asked, pending=pending):
             bins, label, fold, margin = part
-            margin, found = with_trees(margin, bins, pending), []
+            found = []
             for m, ask in asked.items():
-                rows, slots = ask.rows(ask.tree.leaves(bins, ask.level), fold != models[m].fold)
-                g, h = gradients(margin[m][rows], label[rows], models[m].positive)
-                found.append(node_sums(bins, ask.features, widths, rows, slots, len(ask.nodes), g, h).ravel())
+                train = fold != models[m].fold
+                if ask.level:  # margins are brought up to date for the asked rows only
+                    rows, slots = ask.rows(ask.tree.leaves(bins, ask.level), train)
+                    own, train = np.empty((features, len(rows)), np.uint8), 1.0
+                    for f in {*ask.features.tolist(), *(f for tree in pending[m] for f in tree.feature.tolist() if f >= 0)}:
+                        np.take(bins[f], rows, out=own[f], mode="clip")
+                    now, y = margin[m][rows], label[rows]
+                else:
+                    own, slots, now, y = bins, None, margin[m], label
+                for tree in pending[m]:
+                    now = now + models[m].rate * tree.value[tree.leaves(own, models[m].depth)]
+                g, h = (x * train for x in gradients(now, y, models[m].positive))
+                found.append(node_sums(own, ask.features, widths, None, slots, len(ask.nodes), g, h).ravel())
             return np.concatenate(found)
 
         total = added(state.map(sums))
@@ -593,7 +613,7 @@ def _fit_by_sums(blocks: DataFrame, models: list[Settings], features: int, tasks
             own = np.flatnonzero(fold == s.fold) if left_out else np.arange(len(fold))
             for i in range(0, len(own), BLOCK_ROWS):
                 at = own[i : i + BLOCK_ROWS]
-                yield m, len(at), *[bytearray(x[at].tobytes()) for x in (label, fold, margin[m])]
+                yield m, len(at), *[bytearray(x[at].astype(t).tobytes()) for x, t in ((label, np.int32), (fold, np.int32), (margin[m], np.float64))]
 
     found = settled(blocks.sparkSession.createDataFrame(state.flatMap(rows), "model INT, n INT, label BINARY, fold BINARY, margin BINARY"))
     state.unpersist()
@@ -656,7 +676,7 @@ def _fit_by_levels(blocks: DataFrame, models: list[Settings], features: int) ->
 
     while any(not g.done for g in growths):
         work = [(m, g.trees[added[m] :]) for m, g in enumerate(growths)]
-        if max(len(pending) for _, pending in work) >= REFRESH:
+        if max(len(pending) for _, pending in work) >= SETTLE:
             state = settled(added_up(work))
             added = [len(g.trees) for g in growths]
             work = [(m, []) for m in range(len(models))]

@@ -209,3 +209,30 @@ def test_settings_have_booster_defaults():
     assert (s.depth, s.rate, s.min_child, s.rounds, s.columns, s.gamma, s.positive, s.penalty) == (4, 0.1, 5, 7, 0.4, 0.2, 3, 1.0)
     assert boosting.Settings.of({}) == boosting.Settings(6, 0.3, 0.0, 1.0, 1.0, 1.0)
     assert len(s.features(3, 29)) == 11 and (s.features(3, 29) == s.features(3, 29)).all() and (s.features(3, 29) != s.features(4, 29)).any()
+
+
+def test_every_level_reads_small_blocks_as_they_are_kept(spark, table, monkeypatch):
+    """Half of a level's time went into Java's streams; labels and folds take a byte each, and margins come out as before."""
+    df = spark.createDataFrame(table)
+    cuts = boosting.fit_cuts(df, COLS)
+    blocks = boosting.binned(df, COLS, "y", cuts, "fold")
+    settings = [boosting.Settings(depth=3, rounds=7, rate=0.2, fold=f) for f in (0, 1, -1)]
+    one, one_trees = boosting.fit_many(blocks, settings, len(COLS))
+    monkeypatch.setattr(boosting, "CELLS", 3000)
+    kept, persist = [], RDD.persist
+    monkeypatch.setattr(RDD, "persist", lambda rdd, level: kept.append((level.deserialized, level.useDisk)) or persist(rdd, level))
+    many, many_trees = boosting.fit_many(blocks, settings, len(COLS))
+    assert kept and all(k == (True, True) for k in kept)
+    assert [[t.value.tolist() for t in m] for m in one_trees] == [[t.value.tolist() for t in m] for m in many_trees]
+    a, b = (sorted((r["model"], r["fold"], r["label"], r["score"]) for r in boosting.left_out_scores(m, settings).collect()) for m in (one, many))
+    assert a == b and len(a) == table.fold.isin([0, 1]).sum()
+    assert boosting._narrow(np.array([0, 1], np.int32)).dtype == np.uint8 and boosting._narrow(np.array([-1, 300], np.int32)).tolist() == [-1, 300]
+
+
+def test_sums_of_all_rows_need_no_list_of_them():
+    rng = np.random.default_rng(4)
+    bins, features, widths = rng.integers(0, 7, (3, 500)).astype(np.uint8), np.array([0, 2]), np.full(3, 7)
+    g, h, train = rng.integers(-9, 9, 500).astype(float), rng.integers(1, 9, 500).astype(float), rng.random(500) < 0.8
+    rows = np.flatnonzero(train)
+    some = boosting.node_sums(bins, features, widths, rows, np.zeros(len(rows), np.int64), 1, g[rows], h[rows])
+    assert np.array_equal(some, boosting.node_sums(bins, features, widths, None, None, 1, g * train, h * train))
