@@ -43,6 +43,8 @@ STRETCH = 1.5
 LEAST_WORDS = 6
 """Items with fewer words are hits only where all of them stand together."""
 DENSE_CELLS = 1 << 23
+PAIR_CELLS = 1 << 20
+"""Passages x items that are compared at a time."""
 ITEMS_AT_ONCE = 4096
 
 LETTERS = np.ones(256, bool)
@@ -344,33 +346,39 @@ def matches(
                 best: dict[tuple[int, int], tuple] = {}
                 for size, mine, lengths, short, least, local, held, places, answers in groups:
                     end = np.minimum(begin + size, stop)
-                    passage = running[end] - running[begin]
-                    norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", passage, passage)), 1e-9)
-                    near = passage @ items.vectors[mine].T
-                    names = local[table]
-                    hits = held[names[0]]
-                    for k in range(1, BLOCK_WORDS):
-                        hits += held[names[k]]
-                    shared = np.zeros((len(at) + 1, len(mine)), np.int32)
-                    np.cumsum(hits, axis=0, out=shared[1:])
-                    # the cosine says how long a common subsequence must be; what shares fewer words has none
-                    close = near >= (cosine * norm)[:, None]
-                    ps, js = np.nonzero(shared[end] - shared[begin] >= np.where(close, least[1], least[0]))
-                    length = places.common(js, names, ps, end[ps], least[close[ps, js].astype(int), js], shared)
-                    good = np.flatnonzero(length)
-                    ps, js, length = ps[good], js[good], length[good]
-                    answer = answers.common(js, names, ps, end[ps], np.zeros(len(js)), shared)
-                    for q in range(len(ps)):
-                        p, j = int(ps[q]), int(js[q])
-                        i, n = int(mine[j]), int(lengths[j])
-                        if short[j] and not (np.lib.stride_tricks.sliding_window_view(word[edge[p] : edge[end[p]]], n) == items.words[i]).all(axis=1).any():
-                            continue
-                        share = int(length[q]) / n
-                        answered = int(answer[q]) >= answer_share * len(items.answers[i])
-                        if share < copy and not answered:
-                            continue
-                        key = (int(owner[p]), i)
-                        best[key] = max(best.get(key, (-1.0, -1.0, False)), (share, float(near[p, j] / norm[p]), bool(answered)))
+                    few = max(1, PAIR_CELLS // len(mine))
+                    for low in range(0, len(at), few):  # short texts and many items make many pairs in a chunk
+                        high = min(low + few, len(at))
+                        top = end[high - 1]
+                        until = end[low:high]
+                        passage = running[until] - running[low:high]
+                        norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", passage, passage)), 1e-9)
+                        near = passage @ items.vectors[mine].T
+                        names = local[table[:, low:top]]
+                        hits = held[names[0]]
+                        for k in range(1, BLOCK_WORDS):
+                            hits += held[names[k]]
+                        shared = np.zeros((top - low + 1, len(mine)), np.int32)
+                        np.cumsum(hits, axis=0, out=shared[1:])
+                        # the cosine says how long a common subsequence must be; what shares fewer words has none
+                        close = near >= (cosine * norm)[:, None]
+                        until = until - low
+                        ps, js = np.nonzero(shared[until] - shared[: high - low] >= np.where(close, least[1], least[0]))
+                        length = places.common(js, names, ps, until[ps], least[close[ps, js].astype(int), js], shared)
+                        good = np.flatnonzero(length)
+                        ps, js, length = ps[good], js[good], length[good]
+                        answer = answers.common(js, names, ps, until[ps], np.zeros(len(js)), shared)
+                        for q in range(len(ps)):
+                            p, j = low + int(ps[q]), int(js[q])
+                            i, n = int(mine[j]), int(lengths[j])
+                            if short[j] and not (np.lib.stride_tricks.sliding_window_view(word[edge[p] : edge[end[p]]], n) == items.words[i]).all(axis=1).any():
+                                continue
+                            share = int(length[q]) / n
+                            answered = int(answer[q]) >= answer_share * len(items.answers[i])
+                            if share < copy and not answered:
+                                continue
+                            key = (int(owner[p]), i)
+                            best[key] = max(best.get(key, (-1.0, -1.0, False)), (share, float(near[ps[q], j] / norm[ps[q]]), bool(answered)))
                 if best:
                     columns = list(zip(*((ids[rows.start + d].as_py(), items.ids[i], *v) for (d, i), v in best.items())))
                     kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_())
