@@ -212,7 +212,7 @@ def test_settings_have_booster_defaults():
 
 
 def test_every_level_reads_small_blocks_as_they_are_kept(spark, table, monkeypatch):
-    """Half of a level's time went into Java's streams; labels and folds take a byte each, and margins come out as before."""
+    """Serialised blocks go through Java's streams at every level; labels and folds take a byte each, and margins come out as before."""
     df = spark.createDataFrame(table)
     cuts = boosting.fit_cuts(df, COLS)
     blocks = boosting.binned(df, COLS, "y", cuts, "fold")
