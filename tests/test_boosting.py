@@ -131,6 +131,30 @@ def test_a_level_is_one_stage(spark, table, monkeypatch):
     assert len(trees[0]) == 6 and sum(s is not None and s.numCompletedTasks > 0 for s in tasks) <= 6 * 4 + 10
 
 
+@pytest.mark.parametrize("part_rows", [1500, 60])
+def test_a_deep_tree_is_shuffled_once(spark, table, monkeypatch, part_rows):
+    """Levels of wide nodes are stages without a shuffle; what is below the others grows in one step, to the same trees."""
+    df = spark.createDataFrame(table)
+    cuts = boosting.fit_cuts(df, COLS)
+    settings = [boosting.Settings(depth=9, rounds=4, columns=0.8, gamma=0.1, min_child=m, fold=f) for m, f in ((1, 1), (0.5, -1))]
+    _, one = boosting.fit_many(boosting.binned(df, COLS, "y", cuts, "fold"), settings, len(COLS))
+    for name, value in (("BLOCK_ROWS", 400), ("CELLS", 3000), ("MESSAGE_CELLS", 5000)):
+        monkeypatch.setattr(boosting, name, value)
+    monkeypatch.setattr(boosting, "PART_ROWS", part_rows, raising=False)
+    blocks = boosting.binned(df.repartition(5), COLS, "y", cuts, "fold")
+    sc = spark.sparkContext
+    sc.setJobGroup("parts", "")
+    _, many = boosting.fit_many(blocks, settings, len(COLS))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup("parts")]
+    stages = [sc.statusTracker().getStageInfo(s) for j in jobs for s in j.stageIds]
+    done = sum(s is not None and s.numCompletedTasks > 0 for s in stages)
+    assert max(len(t.feature) for m in one for t in m) > 40
+    for a, b in zip(one, many):
+        assert len(a) == len(b) == 4 and all(np.array_equal(getattr(p, k), getattr(q, k)) for p, q in zip(a, b) for k in ("feature", "bin", "left", "right", "value", "gain", "hess"))
+    assert part_rows < 1500 or done <= 4 * 3 + 12
+
+
 def test_margins_are_not_kept_anew_for_every_tree(spark, table, monkeypatch):
     """Keeping them copies the blocks, too; and every core has as many rows."""
     df = spark.createDataFrame(table)
