@@ -260,3 +260,33 @@ def test_sums_of_all_rows_need_no_list_of_them():
     rows = np.flatnonzero(train)
     some = boosting.node_sums(bins, features, widths, rows, np.zeros(len(rows), np.int64), 1, g[rows], h[rows])
     assert np.array_equal(some, boosting.node_sums(bins, features, widths, None, None, 1, g * train, h * train))
+
+
+@pytest.mark.parametrize("slab, dense", [(1 << 16, 1 << 20), (900, 1 << 20), (900, 300)])
+def test_a_task_with_all_rows_grows_whole_levels(monkeypatch, slab, dense):
+    """No step goes node by node, whatever the size of the slabs; the trees are those of the sums of all levels."""
+    rng = np.random.default_rng(5)
+    bins = np.stack([rng.integers(0, w, 3000) for w in (200, 2, 9, 100)]).astype(np.uint8)
+    label, fold = (rng.random(3000) < 0.2 + 0.5 * (bins[0] > 90) * (bins[1] == 1)).astype(np.int32), rng.integers(0, 3, 3000).astype(np.int32)
+    for settings in (boosting.Settings(depth=12, rounds=2, fold=1, positive=3), boosting.Settings(depth=4, rounds=2, columns=0.5, min_child=0, gamma=0.2)):
+        train, widths, margin, want = fold != settings.fold, bins.max(axis=1).astype(np.int64) + 1, np.zeros(3000), []
+        plan = boosting.planned(settings, widths)
+        ask = next(plan)
+        while ask:
+            g, h = boosting.gradients(margin, label, settings.positive)
+            rows, slots = ask.rows(ask.tree.leaves(bins, ask.level), train)
+            tree, sums = ask.tree, boosting.node_sums(bins, ask.features, widths, rows, slots, len(ask.nodes), g[rows], h[rows])
+            try:
+                ask = plan.send(sums)
+            except StopIteration as end:
+                ask, want = None, end.value
+            if tree.value is not None:
+                margin += settings.rate * tree.value[tree.leaves(bins, settings.depth)]
+        calls = []
+        with monkeypatch.context() as m:
+            m.setattr(boosting, "SLAB_CELLS", slab, raising=False)
+            m.setattr(boosting, "DENSE_CELLS", dense)
+            m.setattr(boosting.Tree, "split", lambda *_: calls.append(1) or [0, 0])
+            got_margin, got = boosting.fit_block(bins, label, fold, settings)
+        assert not calls and np.array_equal(got_margin, margin)
+        assert all(np.array_equal(getattr(a, k), getattr(b, k)) for a, b in zip(got, want, strict=True) for k in ("feature", "bin", "left", "right", "value", "gain", "hess"))
